@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapemill import fixtures, session
+from tapemill.functions.parsing import parse_timestamp
 from tapemill.operators import bars, dedup, event_window, joins, quality
 from tapemill.operators.upsert import drop_null_keys, upsert
 from tapemill.plans import bronze, gold, silver
-from tapemill.specs import RAW_TRADES, TABLES
+from tapemill.sources import raw
+from tapemill.specs import RAW_QUOTES, RAW_TRADES, TABLES
+from tapemill.storage.publish import write_audit_publish
+from tapemill.storage.table import Table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,6 +121,37 @@ def upsert_events(spark: SparkSession, sf: str) -> DataFrame:
     return upsert(bronze.event_merge_source(target), bronze.event_merge_source(source), keys)
 
 
+def _with_hour(rows: DataFrame, day_column: str) -> DataFrame:
+    """Adds the folder columns of an hourly drop; garbled timestamps land in the opening hour."""
+    hour = F.coalesce(F.hour(F.try_to_timestamp("exchange_ts")), F.lit(9))
+    return rows.withColumns({"dt": F.col(day_column), "hh": F.lpad(hour.cast("string"), 2, "0")})
+
+
+@_query
+def ingest_trades_jsonl(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly gzip drops of all trades, written by Spark and read back through the source."""
+    root = f"{session.scratch_dir(spark, 'raw-trades')}/raw/trades"
+    rows = _with_hour(fixtures.bronze_trades(spark, sf), "_trade_date").drop("_ingest_ts", "_trade_date")
+    rows.write.partitionBy("dt", "hh").option("compression", "gzip").json(root)
+    return raw.read_json_lines(spark, RAW_TRADES, [root])
+
+
+@_query
+def ingest_quotes_jsonl(spark: SparkSession, sf: str) -> DataFrame:
+    root = f"{session.scratch_dir(spark, 'raw-quotes')}/raw/quotes"
+    rows = _with_hour(fixtures.bronze_quotes(spark, sf), "_quote_date").drop("_ingest_ts", "_quote_date")
+    rows.write.partitionBy("dt", "hh").option("compression", "gzip").json(root)
+    return raw.read_json_lines(spark, RAW_QUOTES, [root])
+
+
+@_query
+def ingest_events_csv(spark: SparkSession, sf: str) -> DataFrame:
+    root = f"{session.scratch_dir(spark, 'raw-events')}/raw/events"
+    rows = fixtures.bronze_events(spark, sf).withColumn("dt", F.col("_event_load_date"))
+    rows.drop("_ingest_ts", "_event_load_date").write.partitionBy("dt").option("header", True).csv(root)
+    return raw.read_events_csv(spark, [root])
+
+
 # Silver ------------------------------------------------------------------------------------------
 
 
@@ -198,6 +233,28 @@ def silver_events(spark: SparkSession, sf: str) -> DataFrame:
     return _events(spark, sf)
 
 
+@_query
+def wap_trades(spark: SparkSession, sf: str) -> DataFrame:
+    """Two published runs: first deliveries only, then everything again on top of them."""
+    events = _events(spark, sf)
+    small = joins.fits_broadcast(events)
+    table = Table(spark, session.scratch_dir(spark, "wap-trades"), silver.TRADES)
+    rows = fixtures.bronze_trades(spark, sf).where(parse_timestamp("exchange_ts").isNotNull())
+    for run_id, delivered in (("slot1", rows.where(F.col("trade_id").startswith("T-"))), ("slot2", rows)):
+        write_audit_publish(table, silver.silver_trades(delivered, events, small), run_id, "silver_trades_quality")
+    return table.read()
+
+
+@_query
+def wap_quotes(spark: SparkSession, sf: str) -> DataFrame:
+    """One exchange published first, then all of them."""
+    table = Table(spark, session.scratch_dir(spark, "wap-quotes"), silver.QUOTES)
+    rows = fixtures.bronze_quotes(spark, sf)
+    for run_id, delivered in (("slot1", rows.where("exchange = 'NYSE'")), ("slot2", rows)):
+        write_audit_publish(table, silver.silver_quotes(delivered), run_id, "silver_quotes_quality")
+    return table.read()
+
+
 # Quality -----------------------------------------------------------------------------------------
 
 

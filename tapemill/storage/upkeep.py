@@ -1,0 +1,146 @@
+"""Table upkeep: compaction, expiry of old versions, removal of orphans.
+
+Each step lists folders and moves pointers on the driver; rows are only touched by Spark jobs.
+"""
+
+from __future__ import annotations
+
+import math
+import uuid
+from collections.abc import Callable, Iterable
+
+from tapemill.session import MIB
+from tapemill.storage.publish import Staged, drop_branch, publish
+from tapemill.storage.table import MAIN, Pointer, Table, now_ms
+
+# File sizes and retention of the upkeep job.
+TARGET_BYTES = 128 * MIB
+SMALL_BYTES = 32 * MIB
+RETAIN_VERSIONS = 2
+EXPIRE_AFTER_DAYS = 7
+ORPHAN_AFTER_DAYS = 3
+
+_DAY_MS = 24 * 60 * 60 * 1000
+
+
+def days_ago_ms(days: float) -> int:
+    return now_ms() - int(days * _DAY_MS)
+
+
+def compaction_plan(table: Table, target: int = TARGET_BYTES, small: int = SMALL_BYTES) -> dict[str, int]:
+    """Partitions worth rewriting, with the number of files each should have."""
+    main = table.pointer(MAIN)
+    plan = {}
+    for partition, version in (main.partitions if main else {}).items():
+        sizes = [
+            e.size
+            for e in table.files.listing(f"{table.version_path(version)}/{partition}")
+            if e.name.endswith(".parquet")
+        ]
+        files = max(1, math.ceil(sum(sizes) / target))
+        if len(sizes) > files and min(sizes) < small:
+            plan[partition] = files
+    return plan
+
+
+def compact(table: Table, target: int = TARGET_BYTES, small: int = SMALL_BYTES) -> int:
+    """Rewrite partitions of small files near the target size and publish; returns how many.
+
+    All partitions go through one job, range-partitioned by partition and key into as many tasks
+    as files are wanted, so a large partition is split and tasks carry similar amounts.
+    """
+    plan = compaction_plan(table, target, small)
+    if not plan:
+        return 0
+    main = table.pointer(MAIN)
+    old = {p: main.partitions[p] for p in plan}
+    by, keys = table.spec.partition_by, table.spec.keys
+    order = [*by, *(k for k in keys if k not in by)]
+    version = f"compact-{uuid.uuid4().hex[:8]}"
+    (
+        table.with_partition_columns(table.read_partitions(old))
+        .repartitionByRange(sum(plan.values()), *order)
+        .sortWithinPartitions(*order)
+        .write.partitionBy(*by)
+        .option("compression", "zstd")
+        .parquet(table.version_path(version))
+    )
+    new = dict.fromkeys(table.partition_folders(version), version)
+    staged = Staged(f"audit_{version}", Pointer(version, main.version, now_ms(), {**main.partitions, **new}), new)
+    table.write_ref(staged.branch, staged.pointer)
+    try:
+        before, after = table.read_partitions(old).count(), table.read_partitions(new).count()
+        if before != after or set(old) != set(new):
+            raise RuntimeError(f"{table.spec.name}: compaction changed {before} rows to {after}")
+        publish(table, staged)
+    except Exception:
+        drop_branch(table, staged.branch)
+        raise
+    return len(plan)
+
+
+def _in_use(table: Table, logged: Iterable[Pointer]) -> set[tuple[str, str]]:
+    """(version, partition) pairs that a branch, `main` or a logged pointer refers to."""
+    pointers = [*logged, *(table.pointer(ref) for ref in table.refs())]
+    return {(version, partition) for p in pointers if p for partition, version in p.partitions.items()}
+
+
+def _logged(table: Table) -> list[tuple[str, Pointer]]:
+    return [(e.path, Pointer(**table.files.read_json(e.path))) for e in table.log()]
+
+
+def expire_versions(table: Table, older_than_ms: int, retain_last: int = RETAIN_VERSIONS) -> int:
+    """Forget published versions older than the instant, but never the last few or `main`."""
+    entries = _logged(table)
+    main = table.pointer(MAIN)
+    recent = {path for path, _ in entries[-retain_last:]} if retain_last else set()
+    expired = [
+        (path, p)
+        for path, p in entries
+        if path not in recent and p.created_ms < older_than_ms and not (main and p.version == main.version)
+    ]
+    gone = {path for path, _ in expired}
+    in_use = _in_use(table, [p for path, p in entries if path not in gone])
+    for path, pointer in expired:
+        for partition, version in pointer.partitions.items():
+            if (version, partition) not in in_use:
+                table.files.delete(f"{table.version_path(version)}/{partition}")
+        table.files.delete(path)
+    return len(expired)
+
+
+def remove_orphans(table: Table, older_than_ms: int) -> int:
+    """Delete old folders that no version refers to, such as leftovers of a lost driver."""
+    in_use = _in_use(table, [p for _, p in _logged(table)])
+    live_versions = {version for version, _ in in_use}
+    removed = 0
+    for folder in table.versions_on_disk():
+        version = folder.name.removeprefix("version=")
+        if version not in live_versions:
+            candidates = [folder]
+        else:
+            parts = table.partition_folders(version)
+            candidates = [entry for part, entry in parts.items() if (version, part) not in in_use]
+        for entry in candidates:
+            if entry.modified_ms < older_than_ms:
+                table.files.delete(entry.path)
+                removed += 1
+    return removed
+
+
+def maintain(table: Table, expire_after_days: float = EXPIRE_AFTER_DAYS) -> None:
+    compact(table)
+    expire_versions(table, days_ago_ms(expire_after_days))
+    remove_orphans(table, days_ago_ms(ORPHAN_AFTER_DAYS))
+
+
+def maintain_all(tables: Iterable[Table], step: Callable[[Table], None] = maintain) -> None:
+    """Maintain every table, go on after errors and raise them together at the end."""
+    errors = []
+    for table in tables:
+        try:
+            step(table)
+        except Exception as error:  # one broken table must not stop the others
+            errors.append(RuntimeError(f"{table.spec.name}: {error}"))
+    if errors:
+        raise ExceptionGroup("upkeep failed", errors)
