@@ -10,9 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tapemill.specs import EVENT_TYPES
+
 # Exchanges and symbols of the feeds.
-EXCHANGES = "NYSE,NASDAQ,ARCA"
-SYMBOLS = "AAPL,MSFT,AMZN,GOOGL,TSLA,NVDA,META,JPM,BAC,GS,ORCL,CRM,AMD,INTC,NFLX,DIS,WMT,XOM,CVX,PFE"
+EXCHANGES = ("NYSE", "NASDAQ", "ARCA")
+SYMBOLS = (
+    "AAPL", "MSFT", "AMZN", "GOOGL", "TSLA", "NVDA", "META", "JPM", "BAC", "GS",
+    "ORCL", "CRM", "AMD", "INTC", "NFLX", "DIS", "WMT", "XOM", "CVX", "PFE",
+)
 FIRST_DAY = "2024-01-15"
 
 _OPEN = f"CAST('{FIRST_DAY} 09:30:00' AS TIMESTAMP)"
@@ -22,11 +27,18 @@ def _day(order_key: str) -> str:
     return f"CAST(floor({order_key} / 5000) % 2500 AS INT)"
 
 
+def _pick(values: tuple[str, ...], index: str) -> str:
+    """SQL for the value at a zero-based index, cut from one padded text."""
+    width = max(map(len, values))
+    padded = "".join(v.ljust(width) for v in values)
+    return f"trim(substring('{padded}', CAST(({index}) * {width} + 1 AS INT), {width}))"
+
+
 _TICK = f"""
-         split_part('{EXCHANGES}', ',', CAST(l_suppkey % 3 + 1 AS INT)) AS exchange,
-         split_part('{SYMBOLS}', ',', CAST(l_partkey % 20 + 1 AS INT)) AS symbol,
-         {_OPEN} + {_day('l_orderkey')} * INTERVAL '1' DAY
-           + ((l_orderkey * 7919 + l_linenumber * 104729 + l_partkey * 31) % 23400) * INTERVAL '1' SECOND AS ts,
+         {_pick(EXCHANGES, 'l_suppkey % 3')} AS exchange,
+         {_pick(SYMBOLS, 'l_partkey % 20')} AS symbol,
+         {_OPEN} + ({_day('l_orderkey')} * 86400
+           + (l_orderkey * 7919 + l_linenumber * 104729 + l_partkey * 31) % 23400) * INTERVAL '1' SECOND AS ts,
          l_orderkey * 8 + l_linenumber AS sequence_num"""
 
 # Every line item is a trade; returned items are delivered once more, later, under a new trade id
@@ -73,10 +85,10 @@ FROM ticks"""
 BRONZE_EVENTS = f"""
 WITH deliveries AS (
   SELECT o_orderkey, CASE WHEN o_custkey % 97 = 5 THEN 1 ELSE 0 END AS nameless,
-         split_part('{SYMBOLS}', ',', CAST(o_custkey % 13 + 1 AS INT)) AS symbol,
-         split_part('EARNINGS,DIVIDEND,SPLIT,GUIDANCE,BUYBACK', ',', CAST(substring(o_orderpriority, 1, 1) AS INT)) AS event_type,
-         CAST('{FIRST_DAY} 10:30:00' AS TIMESTAMP) + {_day('o_orderkey')} * INTERVAL '1' DAY
-           + ((o_orderkey * 37) % 271) * INTERVAL '1' MINUTE AS starts
+         {_pick(SYMBOLS, 'o_custkey % 13')} AS symbol,
+         {_pick(EVENT_TYPES, 'CAST(substring(o_orderpriority, 1, 1) AS INT) - 1')} AS event_type,
+         CAST('{FIRST_DAY} 10:30:00' AS TIMESTAMP)
+           + ({_day('o_orderkey')} * 1440 + (o_orderkey * 37) % 271) * INTERVAL '1' MINUTE AS starts
   FROM {{orders}})
 SELECT CASE WHEN nameless = 1 THEN NULL ELSE
          'EVT-' || CAST(CAST(starts AS DATE) AS VARCHAR(10)) || '-' || symbol || '-' || event_type END AS event_id,
@@ -89,17 +101,20 @@ SELECT CASE WHEN nameless = 1 THEN NULL ELSE
 FROM deliveries"""
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table spread over the cores. Only a file with fewer splits than cores is shuffled for it."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def bronze_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(BRONZE_TRADES, lineitem=_table(spark, sf_dir, "lineitem"))
+    return spark.sql(BRONZE_TRADES, lineitem=_table(spark, sf_dir, "lineitem", "l_orderkey"))
 
 
 def bronze_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(BRONZE_QUOTES, lineitem=_table(spark, sf_dir, "lineitem"))
+    return spark.sql(BRONZE_QUOTES, lineitem=_table(spark, sf_dir, "lineitem", "l_orderkey"))
 
 
 def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(BRONZE_EVENTS, orders=_table(spark, sf_dir, "orders"))
+    return spark.sql(BRONZE_EVENTS, orders=_table(spark, sf_dir, "orders", "o_orderkey"))

@@ -1 +1 @@
-"""Column functions: pure expressions, no DataFrames."""
+"""Column functions and conditions."""

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapemill.operators.upsert import any_missing
+from tapemill.functions.keys import any_missing, numbers_first
 
 # Later columns only break ties, so that a re-run picks the same row.
 TRADE_ORDER = ("_ingest_ts", "trade_id", "price", "size", "side")
@@ -25,7 +25,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     The rank filter lets Spark cut every group to one row before the shuffle as well
     (`WindowGroupLimit`), so a hot key costs one row per map task, not one huge task.
     """
-    ranked = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    ranked = F.row_number().over(Window.partitionBy(*numbers_first(df, keys)).orderBy(*order))
     return df.withColumn("_rn", ranked).where(F.col("_rn") == 1).drop("_rn")
 
 

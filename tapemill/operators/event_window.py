@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapemill.functions.ticks import log_return, minute
-from tapemill.operators.joins import BROADCAST_ROWS, sized
+from tapemill.operators.joins import BROADCAST_ROWS, TICK_COLUMNS, sized
 
 # A window of two hours touches at most 121 minutes and adds three cuts.
 _SEGMENTS_PER_WINDOW = 124
@@ -55,7 +55,7 @@ def window_segments(windows: DataFrame) -> DataFrame:
     minutes = windows.select("symbol", _minutes_covered().alias("seg_start"))
     cuts = windows.select("symbol", F.explode(F.array("window_start", "event_ts", after_end)).alias("seg_start"))
     points = minutes.unionByName(cuts).distinct().withColumn("bar_start", minute("seg_start"))
-    following = F.lead("seg_start").over(Window.partitionBy("symbol", "bar_start").orderBy("seg_start"))
+    following = F.lead("seg_start").over(Window.partitionBy("bar_start", "symbol").orderBy("seg_start"))
     return points.withColumn("seg_end", F.coalesce(following, F.col("bar_start") + F.expr("INTERVAL 1 MINUTE")))
 
 
@@ -65,13 +65,11 @@ def segment_bars(trades: DataFrame, segments: DataFrame, small: bool) -> DataFra
     Ties for last go to the highest sequence number, then exchange, then price.
     """
     within = (F.col("exchange_ts") >= F.col("seg_start")) & (F.col("exchange_ts") < F.col("seg_end"))
-    ticks = trades.select("exchange", "symbol", "exchange_ts", "sequence_num", "price", "size").withColumn(
-        "bar_start", minute("exchange_ts")
-    )
+    ticks = trades.select(*TICK_COLUMNS, minute("exchange_ts").alias("bar_start"))
     return (
-        ticks.join(sized(segments, small), ["symbol", "bar_start"])
+        ticks.join(sized(segments, small), ["bar_start", "symbol"])
         .where(within)
-        .groupBy("symbol", "bar_start", "seg_start")
+        .groupBy("seg_start", "bar_start", "symbol")
         .agg(
             F.sum("size").alias("size"),
             F.max(F.struct("exchange_ts", "sequence_num", "exchange", "price"))["price"].alias("last_price"),
@@ -85,9 +83,9 @@ def window_minutes(windows: DataFrame, bars: DataFrame, small: bool) -> DataFram
     inside = (F.col("seg_start") >= F.col("window_start")) & (F.col("seg_start") <= F.col("window_end"))
     before = F.col("seg_start") < F.col("event_ts")
     return (
-        bars.join(sized(listed, small), ["symbol", "bar_start"])
+        bars.join(sized(listed, small), ["bar_start", "symbol"])
         .where(inside)
-        .groupBy("symbol", "event_ts", "bar_start")
+        .groupBy("event_ts", "bar_start", "symbol")
         .agg(
             F.sum(F.when(before, F.col("size")).otherwise(0)).alias("pre_size"),
             F.sum(F.when(before, 0).otherwise(F.col("size"))).alias("post_size"),
@@ -98,7 +96,7 @@ def window_minutes(windows: DataFrame, bars: DataFrame, small: bool) -> DataFram
 
 def with_log_returns(minutes: DataFrame) -> DataFrame:
     """Adds log_ret against the previous minute that has trades; a window has at most 121 minutes."""
-    previous = F.lag("price").over(Window.partitionBy("symbol", "event_ts").orderBy("bar_start"))
+    previous = F.lag("price").over(Window.partitionBy("event_ts", "symbol").orderBy("bar_start"))
     return minutes.withColumn("log_ret", log_return(F.col("price"), previous))
 
 
@@ -106,7 +104,7 @@ def realized_volatility(returns: DataFrame) -> DataFrame:
     """Sample standard deviation of the log returns per window that has any return."""
     return (
         returns.where(F.col("log_ret").isNotNull())
-        .groupBy("symbol", "event_ts")
+        .groupBy("event_ts", "symbol")
         .agg(F.stddev("log_ret").alias("realized_vol"))
     )
 
@@ -118,7 +116,7 @@ def event_windowed_volume(trades: DataFrame, silver_events: DataFrame, small: bo
     bars = segment_bars(trades, window_segments(windows), small)
     stats = (
         with_log_returns(window_minutes(windows, bars, small))
-        .groupBy("symbol", "event_ts")
+        .groupBy("event_ts", "symbol")
         .agg(
             F.sum("pre_size").cast("long").alias("pre_volume"),
             F.sum("post_size").cast("long").alias("post_volume"),

@@ -11,6 +11,9 @@ from tapemill.session import MIB
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * MIB
 
+# What event windows read of a trade; its own event columns belong to enrichment.
+TICK_COLUMNS = ("exchange", "symbol", "exchange_ts", "sequence_num", "price", "size")
+
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure `df` with one small aggregate. Estimates are no proof: they miss explodes and compression."""
@@ -49,5 +52,5 @@ def join_event_windows(trades: DataFrame, windows: DataFrame, small: bool) -> Da
     )
     listed = windows.withColumn("_hour", F.explode(hours))
     inside = (F.col("exchange_ts") >= F.col("window_start")) & (F.col("exchange_ts") <= F.col("window_end"))
-    ticks = trades.withColumn("_hour", F.date_trunc("hour", "exchange_ts"))
+    ticks = trades.select(*TICK_COLUMNS, F.date_trunc("hour", "exchange_ts").alias("_hour"))
     return ticks.join(sized(listed, small), ["symbol", "_hour"]).where(inside).drop("_hour")

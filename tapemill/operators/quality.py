@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapemill.operators.upsert import any_missing
+from tapemill.functions.keys import any_missing
 from tapemill.specs import EVENT_TYPES, SIDES
 
 SUCCESS, FAILURE = "Success", "Failure"

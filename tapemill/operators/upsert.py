@@ -3,21 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-AMBIGUOUS = "upsert: several source rows match one target row"
-
-
-def all_present(cols: Sequence[str]) -> Column:
-    return reduce(and_, [F.col(c).isNotNull() for c in cols])
+from tapemill.functions.keys import all_present, numbers_first
 
-
-def any_missing(cols: Sequence[str]) -> Column:
-    return reduce(or_, [F.col(c).isNull() for c in cols])
+AMBIGUOUS = "upsert: several source rows match one target row"
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -31,11 +23,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     raises when the plan runs, and only then: unmatched repeats are simply inserted. The source
     is counted per key before the join, so a repeated key cannot multiply rows.
     """
-    matches = drop_null_keys(source, keys).groupBy(*keys).agg(F.count("*").alias("_matches"))
+    on = numbers_first(target, keys)
+    matches = drop_null_keys(source, keys).groupBy(*on).agg(F.count("*").alias("_matches"))
     untouched = (
         F.when(F.col("_matches").isNull(), True)
         .when(F.col("_matches") == 1, False)
         .otherwise(F.raise_error(AMBIGUOUS).cast("boolean"))
     )
-    kept = target.join(matches, list(keys), "left").where(untouched)
+    kept = target.join(matches, on, "left").where(untouched)
     return kept.select(*target.columns).unionByName(source.select(*target.columns))

@@ -107,16 +107,15 @@ def audit(table: Table, staged: Staged, suite: str | None) -> list[str]:
 
 
 def failed_checks(rows: DataFrame, suite: str | None, not_null: tuple[str, ...] = ()) -> list[str]:
-    failed = []
-    if not_null:
-        nulls = quality.null_counts(rows, not_null).collect()
-        failed += [f"not_null({r.column_name})" for r in nulls if r.status != quality.SUCCESS]
-    if suite:
-        results = quality.run_checks(rows, suite).collect()
-        for r in results:
-            log.info("%s %s metric=%s min=%s %s", r.suite, r.rule, r.metric, r.min_ratio, r.status)
-        failed += [r.rule for r in results if r.status != quality.SUCCESS]
-    return failed
+    """Failed rules of the suite and of the table's NOT NULL columns, checked together."""
+    rules = list(quality.SUITES[suite]) if suite else []
+    rules += [rule for rule in map(quality.complete, not_null) if rule not in rules]
+    if not rules:
+        return []
+    results = quality.run_checks(rows, suite or "not_null", rules).collect()
+    for r in results:
+        log.info("%s %s metric=%s min=%s %s", r.suite, r.rule, r.metric, r.min_ratio, r.status)
+    return [r.rule for r in results if r.status != quality.SUCCESS]
 
 
 def publish(table: Table, staged: Staged) -> None:

@@ -1,0 +1,49 @@
+import datetime as dt
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path.insert(0, str(ROOT))
+
+from tapemill import session  # noqa: E402
+
+DATA = "/root/testdata"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("checkpoints")
+    spark = session.build(
+        "tests",
+        "local[8]",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "6g",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": str(shared),
+        },
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    yield spark
+    spark.stop()
+
+
+@pytest.fixture
+def frame(spark):
+    """A DataFrame from dicts under a schema; missing columns are NULL."""
+
+    def make(schema, *rows):
+        names = schema.fieldNames()
+        unknown = {k for row in rows for k in row} - set(names)
+        assert not unknown, unknown
+        return spark.createDataFrame([tuple(row.get(n) for n in names) for row in rows], schema)
+
+    return make
+
+
+def at(text: str) -> dt.datetime:
+    """An instant in UTC from ISO text."""
+    return dt.datetime.fromisoformat(text).replace(tzinfo=dt.timezone.utc)

@@ -1,0 +1,80 @@
+"""Parsing, deduplication and enrichment."""
+
+from decimal import Decimal
+
+from conftest import at
+
+from tapemill.plans import silver
+from tapemill.specs import TABLES
+
+BRONZE = {name: TABLES[f"bronze.{name}_raw"].schema for name in ("trades", "quotes", "events")}
+EVENTS = TABLES["silver.events"].schema
+TS = "2024-01-15T09:30:00.123456"
+
+
+def trade(trade_id="T", ingest="2024-01-15T10:00:00", ts=TS, price=1.0, symbol="AAPL", seq=1):
+    return {"exchange": "NYSE", "symbol": symbol, "exchange_ts": ts, "price": price, "size": 1, "sequence_num": seq,
+            "side": "BUY", "trade_id": trade_id, "_ingest_ts": at(ingest)}
+
+
+def raw_event(event_type="SPLIT", ingest="2024-01-15T05:30:00", event_id="E", day="2024-01-15"):
+    return {"event_id": event_id, "symbol": "AAPL", "event_type": event_type, "event_date": day,
+            "event_start": f"{day}T10:30:00", "event_end": f"{day}T10:45:00", "_ingest_ts": at(ingest)}
+
+
+def event(event_id, start, symbol="AAPL", day="2024-01-15"):
+    return {"event_id": event_id, "symbol": symbol, "event_type": "SPLIT", "event_date": at(day).date(),
+            "event_start": start and at(start)}
+
+
+def test_bad_input_becomes_null_under_ansi(spark, frame):
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    rows = frame(BRONZE["trades"], trade("a", ts="bad-ts"), trade("b", ts="2024-01-15T09:30:00"), trade("c", price=1e13),
+                 trade("d", price=0.1234565))
+    out = {r.trade_id: r for r in silver.typed_trades(rows).collect()}
+    assert out["a"].exchange_ts is None and out["b"].exchange_ts is not None
+    assert out["c"].price is None and out["d"].price == Decimal("0.123457")
+    dates = silver.typed_events(frame(BRONZE["events"], raw_event(day="15/01/2024"))).first()
+    assert dates.event_date is None and dates.event_start is None
+
+
+def test_trades_keep_the_earliest_delivery_even_under_a_new_trade_id(frame):
+    rows = frame(BRONZE["trades"], trade("R", "2024-01-15T10:15:00"), trade("T", "2024-01-15T10:00:00"))
+    assert [r.trade_id for r in silver.deduplicated_trades(rows).collect()] == ["T"]
+
+
+def test_equal_instants_written_differently_are_one_key(frame):
+    rows = frame(BRONZE["trades"], trade("a", ts="2024-01-15T09:30:00"), trade("b", ts="2024-01-15 09:30:00.000"))
+    assert [r.trade_id for r in silver.deduplicated_trades(rows).collect()] == ["a"]
+
+
+def test_events_keep_the_latest_delivery(frame):
+    rows = frame(BRONZE["events"], raw_event("SPLIT"), raw_event("GUIDANCE", "2024-01-15T05:45:00"))
+    assert [r.event_type for r in silver.silver_events(rows).collect()] == ["GUIDANCE"]
+
+
+def test_changed_event_date_is_another_event(frame):
+    rows = frame(BRONZE["events"], raw_event(), raw_event(day="2024-01-16"))
+    assert silver.silver_events(rows).count() == 2
+
+
+def test_enrichment_takes_the_first_event_and_never_multiplies(frame):
+    trades = frame(BRONZE["trades"], trade("a", seq=1), trade("b", seq=2, symbol="MSFT"), trade("c", seq=3, ts="bad"))
+    events = frame(EVENTS, event("E2", "2024-01-15T10:00:00"), event("E1", "2024-01-15T10:00:00"),
+                   event("E0", "2024-01-15T11:00:00"), event("X", "2024-01-16T09:00:00", day="2024-01-16"))
+    for small in (True, False):
+        out = {r.trade_id: r.event_id for r in silver.silver_trades(trades, events, small).collect()}
+        assert out == {"a": "E1", "b": None, "c": None}
+
+
+def test_event_without_start_comes_first(frame):
+    events = frame(EVENTS, event("E1", "2024-01-15T10:00:00"), event("E2", None))
+    out = silver.silver_trades(frame(BRONZE["trades"], trade()), events, True).first()
+    assert out.event_id == "E2"
+
+
+def test_columns_follow_the_table(frame):
+    events = frame(EVENTS)
+    assert silver.silver_trades(frame(BRONZE["trades"]), events, True).columns == TABLES["silver.trades"].columns
+    assert silver.silver_quotes(frame(BRONZE["quotes"])).columns == TABLES["silver.quotes"].columns
+    assert silver.silver_events(frame(BRONZE["events"])).columns == EVENTS.fieldNames()
