@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tapemill.specs import EVENT_TYPES
+from tapemill.storage.files import Files
 
 # Exchanges and symbols of the feeds.
 EXCHANGES = ("NYSE", "NASDAQ", "ARCA")
@@ -108,6 +109,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
 
 
+def input_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Size of the larger input, a file or a folder of files."""
+    files = Files(spark, sf_dir)
+    return sum(e.size for e in files.listing(f"{sf_dir}/lineitem.parquet"))
+
+
 def bronze_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(BRONZE_TRADES, lineitem=_table(spark, sf_dir, "lineitem", "l_orderkey"))
 

@@ -44,7 +44,9 @@ class Lake:
         """Published rows of a day and `reach` days around it, read from those partitions only."""
         table = self.table(name)
         days = [day + timedelta(days=n) for n in range(-reach, reach + 1)]
-        return table.read(only=on_days(table.spec.partition_by[0], days))
+        chosen = table.partitions(on_days(table.spec.partition_by[0], days))
+        session.size_shuffles(self.spark, table.bytes_of(chosen))
+        return table.read_partitions(chosen)
 
 
 def create_tables(lake: Lake) -> list[str]:

@@ -9,6 +9,8 @@ import tempfile
 from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
+# More reducers than this cost the driver more in bookkeeping than they save in spilling.
+MAX_SHUFFLE_PARTITIONS = 32_000
 
 # UTC decides what a day is; the rest are the adaptive features the plans count on.
 RUNTIME_CONF = {
@@ -39,6 +41,20 @@ def build(app_name: str, master: str | None = None, **conf: str) -> SparkSession
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Raise the initial number of shuffle partitions to suit an input of this many Parquet bytes.
+
+    Rows take about four times their Parquet size in a shuffle, so 32 MiB of input make a 128 MiB
+    partition. Adaptive execution merges what turns out small; it cannot split what was planned
+    too coarse. Never lowers the session's own setting.
+    """
+    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes // (32 * MIB)))
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    current = int(spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set(initial, str(wanted))
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for tables that a query writes and reads back.
 

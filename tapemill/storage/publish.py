@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tapemill.operators import quality
@@ -39,25 +39,54 @@ class Staged:
     written: dict[str, str]
 
 
-def _key_bounds(source: DataFrame, keys: tuple[str, ...]) -> list:
-    """Range conditions every matching row must meet; Parquet skips row groups by them."""
-    ends = [f(k).alias(f"{f.__name__}_{k}") for k in keys for f in (F.min, F.max)]
-    row = drop_null_keys(source, keys).agg(*ends).first()
-    return [F.col(k).between(row[f"min_{k}"], row[f"max_{k}"]) for k in keys if row[f"min_{k}"] is not None]
+def _ends(keys: Iterable[str]) -> list[Column]:
+    return [f(k).alias(f"{f.__name__}_{k}") for k in keys for f in (F.min, F.max)]
+
+
+def _bounds_of(row: Row, keys: Iterable[str]) -> dict[str, list]:
+    return {k: [row[f"min_{k}"], row[f"max_{k}"]] for k in keys if row[f"min_{k}"] is not None}
+
+
+def _partition_bounds(table: Table, written: dict[str, str]) -> dict[str, dict[str, list]]:
+    """Key bounds of freshly written partitions: one pass over their keys, one row per partition."""
+    spec = table.spec
+    if spec.partition_follows_key or not written:
+        return {}
+    rows = table.with_partition_columns(table.read_partitions(written))
+    names = {tuple(partition_values(p).values()): p for p in written}
+    bounds = rows.groupBy(*spec.partition_by).agg(*_ends(spec.keys)).collect()
+    return {names[_as_folder(row[: len(spec.partition_by)])]: _bounds_of(row, spec.keys) for row in bounds}
+
+
+def _as_folder(values: Iterable) -> tuple:
+    return tuple(None if v is None else str(v) for v in values)
+
+
+def _may_hold(partition: dict[str, list] | None, wanted: dict[str, list]) -> bool:
+    if partition is None:
+        return True
+    return all(k in partition and partition[k][0] <= high and partition[k][1] >= low for k, (low, high) in wanted.items())
 
 
 def _partitions_holding(table: Table, source: DataFrame, pointer: Pointer) -> set[str]:
-    """Published partitions with a row whose key occurs in `source`, wherever it lies."""
+    """Published partitions with a row whose key occurs in `source`, wherever it lies.
+
+    Every matching row lies within the source's key bounds. Those rule out partitions by the
+    pointer's own bounds, then row groups by Parquet statistics; the join decides on the rest.
+    """
     spec = table.spec
-    bounds = _key_bounds(source, spec.keys)
-    if not bounds:
+    wanted = _bounds_of(drop_null_keys(source, spec.keys).agg(*_ends(spec.keys)).first(), spec.keys)
+    if not wanted:
+        return set()
+    possible = {p: v for p, v in pointer.partitions.items() if _may_hold(pointer.bounds.get(p), wanted)}
+    if not possible:
         return set()
-    candidates = table.with_partition_columns(table.read_partitions(pointer.partitions))
-    for bound in bounds:
-        candidates = candidates.where(bound)
+    candidates = table.with_partition_columns(table.read_partitions(possible))
+    for key, (low, high) in wanted.items():
+        candidates = candidates.where(F.col(key).between(low, high))
     hits = candidates.join(source.select(*spec.keys), list(spec.keys), "left_semi").select(*spec.partition_by)
-    values = {tuple(None if v is None else str(v) for v in row) for row in hits.distinct().collect()}
-    return {p for p in pointer.partitions if tuple(partition_values(p).values()) in values}
+    values = {_as_folder(row) for row in hits.distinct().collect()}
+    return {p for p in possible if tuple(partition_values(p).values()) in values}
 
 
 def stage_upsert(
@@ -95,7 +124,9 @@ def stage_upsert(
     else:
         version = f"{version}-in"
     untouched = {p: v for p, v in base.items() if p not in met}
-    pointer = Pointer(version, main.version if main else None, now_ms(), {**untouched, **written})
+    bounds = {p: b for p, b in main.bounds.items() if p in untouched} if main else {}
+    bounds |= _partition_bounds(table, written)
+    pointer = Pointer(version, main.version if main else None, now_ms(), {**untouched, **written}, bounds)
     table.write_ref(branch, pointer)
     return Staged(branch, pointer, written)
 
@@ -123,7 +154,7 @@ def publish(table: Table, staged: Staged) -> None:
     main = table.pointer(MAIN)
     if (main.version if main else None) != staged.pointer.parent:
         raise ConflictError(f"{table.spec.name}: main is no longer {staged.pointer.parent}")
-    table.files.write_json(table.log_path(staged.pointer), staged.pointer.__dict__)
+    table.files.write_json(table.log_path(staged.pointer), asdict(staged.pointer))
     table.files.replace(table.ref_path(staged.branch), table.ref_path(MAIN))
 
 

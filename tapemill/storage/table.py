@@ -26,12 +26,17 @@ NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
 
 @dataclass(frozen=True)
 class Pointer:
-    """Which version folder holds each partition of the table."""
+    """Which version folder holds each partition of the table.
+
+    `bounds` has the least and greatest value of each key column per partition, where an upsert
+    may have to find keys in any partition; most partitions are then ruled out without a read.
+    """
 
     version: str
     parent: str | None
     created_ms: int
     partitions: dict[str, str] = field(default_factory=dict)
+    bounds: dict[str, dict[str, list]] = field(default_factory=dict)
 
 
 def partition_values(partition: str) -> dict[str, str | None]:
@@ -110,17 +115,17 @@ class Table:
             ]
         return dict(found)
 
-    def read(self, ref: str = MAIN, only: Callable[[dict], bool] | None = None) -> DataFrame:
-        """Rows at a ref. `only` chooses partitions by their values before any file is listed."""
+    def partitions(self, only: Callable[[dict], bool] | None = None, ref: str = MAIN) -> dict[str, str]:
+        """Partitions at a ref, chosen by their values before any file is listed."""
         pointer = self.pointer(ref)
-        return self.read_partitions(pointer.partitions if pointer else {}, only)
-
-    def read_partitions(self, partitions: dict[str, str], only: Callable[[dict], bool] | None = None) -> DataFrame:
-        paths = [
-            f"{self.version_path(version)}/{partition}"
-            for partition, version in partitions.items()
-            if only is None or only(partition_values(partition))
-        ]
+        found = pointer.partitions if pointer else {}
+        return {p: v for p, v in found.items() if only is None or only(partition_values(p))}
+
+    def read(self, ref: str = MAIN, only: Callable[[dict], bool] | None = None) -> DataFrame:
+        return self.read_partitions(self.partitions(only, ref))
+
+    def read_partitions(self, partitions: dict[str, str]) -> DataFrame:
+        paths = [f"{self.version_path(version)}/{partition}" for partition, version in partitions.items()]
         if not paths:
             return self.spark.createDataFrame([], self.spec.schema)
         rows = (
@@ -130,6 +135,12 @@ class Table:
         )
         return rows.select(*self.spec.columns)
 
+    def bytes_of(self, partitions: dict[str, str]) -> int:
+        """Size of the Parquet files of some partitions."""
+        return sum(
+            e.size for p, v in partitions.items() for e in self.files.listing(f"{self.version_path(v)}/{p}")
+        )
+
     def with_partition_columns(self, rows: DataFrame) -> DataFrame:
         return rows.withColumns({day: F.to_date(ts) for day, ts in self.spec.day_of.items()})
 

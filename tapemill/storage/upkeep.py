@@ -66,7 +66,8 @@ def compact(table: Table, target: int = TARGET_BYTES, small: int = SMALL_BYTES)
         .parquet(table.version_path(version))
     )
     new = dict.fromkeys(table.partition_folders(version), version)
-    staged = Staged(f"audit_{version}", Pointer(version, main.version, now_ms(), {**main.partitions, **new}), new)
+    pointer = Pointer(version, main.version, now_ms(), {**main.partitions, **new}, main.bounds)
+    staged = Staged(f"audit_{version}", pointer, new)
     table.write_ref(staged.branch, staged.pointer)
     try:
         before, after = table.read_partitions(old).count(), table.read_partitions(new).count()

@@ -136,6 +136,19 @@ def test_same_key_under_another_partition_moves_the_row(table, frame):
     assert t.read().count() == 2
 
 
+def test_key_bounds_rule_out_partitions_without_a_read(table, frame, monkeypatch):
+    t = table(EVENTS)
+    for n, day in (("A1", "2024-01-15"), ("B1", "2024-01-16"), ("C1", "2024-01-17")):
+        publish(t, frame(EVENTS.schema, raw_event(n, day)), suite=None)
+    assert t.pointer().bounds["_event_load_date=2024-01-16"] == {"event_id": ["B1", "B1"]}
+    read = []
+    original = Table.read_partitions
+    monkeypatch.setattr(Table, "read_partitions", lambda self, p: read.append(set(p)) or original(self, p))
+    source = frame(EVENTS.schema, raw_event("B1", "2024-01-18"), raw_event("B2", "2024-01-18"))
+    assert pub._partitions_holding(t, source, t.pointer()) == {"_event_load_date=2024-01-16"}
+    assert read == [{"_event_load_date=2024-01-16"}]
+
+
 def test_key_derived_partitions_are_known():
     follows = {name for name, spec in TABLES.items() if spec.partition_follows_key}
     assert follows == {n for n in TABLES if not n.startswith("bronze")}
