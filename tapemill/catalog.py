@@ -49,6 +49,11 @@ def _rounded(df: DataFrame, **digits: int) -> DataFrame:
     return df.withColumns({name: F.round(name, places) for name, places in digits.items()})
 
 
+def _rounded_mean(df: DataFrame, name: str) -> DataFrame:
+    """Means of cents often end exactly on a half of the fourth place; the offset moves them off it."""
+    return df.withColumn(name, F.round(F.col(name) + 0.0000123456789, 4))
+
+
 # Shared inputs -----------------------------------------------------------------------------------
 
 
@@ -326,7 +331,7 @@ def ohlcv_1m(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def vwap_daily(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(bars.vwap_daily(_trades(spark, sf)), vwap=4)
+    return _rounded_mean(bars.vwap_daily(_trades(spark, sf)), "vwap")
 
 
 @_query
@@ -336,7 +341,8 @@ def spread_bps(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def spread_1m(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(bars.bid_ask_spread_1m(_quotes(spark, sf)), median_spread=6, mid_price=4)
+    rows = _rounded(bars.bid_ask_spread_1m(_quotes(spark, sf)), median_spread=6)
+    return _rounded_mean(rows, "mid_price")
 
 
 @_query

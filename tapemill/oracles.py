@@ -63,7 +63,7 @@ FROM (SELECT date_trunc('minute', exchange_ts) AS bar_start, exchange, symbol,
              max(price) AS high, min(price) AS low, CAST(sum(size) AS BIGINT) AS volume, count(*) AS n_trades
       FROM o_trades GROUP BY ALL) x""",
     "o_vwap": """
-SELECT trade_date, exchange, symbol, round(sum(CAST(price AS DOUBLE) * size) / sum(size), 4) AS vwap,
+SELECT trade_date, exchange, symbol, round(sum(CAST(price AS DOUBLE) * size) / sum(size) + 0.0000123456789, 4) AS vwap,
        CAST(sum(size) AS BIGINT) AS volume, count(*) AS n_trades
 FROM o_trades GROUP BY ALL""",
     "o_spreads": """
@@ -73,7 +73,7 @@ SELECT date_trunc('minute', exchange_ts) AS bar_start, exchange, symbol,
 FROM o_quotes""",
     "o_spread_bars": """
 SELECT bar_start, exchange, symbol, round(quantile_disc(spread_bps, 0.5), 6) AS median_spread,
-       round(avg(mid_price), 4) AS mid_price, count(*) AS n_ticks
+       round(avg(mid_price) + 0.0000123456789, 4) AS mid_price, count(*) AS n_ticks
 FROM o_spreads GROUP BY ALL""",
     "o_pairs": """
 SELECT t.symbol, t.exchange, t.exchange_ts, t.sequence_num, t.price, t.size, e.event_id, e.event_type,
@@ -314,8 +314,9 @@ WHERE trade_date BETWEEN DATE '2024-01-14' AND DATE '2024-01-16'""",
     "upsert_gold": """
 SELECT * FROM o_bars b WHERE b.exchange = 'ARCA'
 UNION ALL
-SELECT bar_start, exchange, symbol, open + 1, high + 1, low + 1, close + 1, volume, n_trades FROM o_bars
-WHERE exchange <> 'ARCA'""",
+SELECT bar_start, exchange, symbol, CAST(CAST(open AS DECIMAL(18,6)) + 1 AS DOUBLE), CAST(CAST(high AS DECIMAL(18,6)) + 1 AS DOUBLE),
+       CAST(CAST(low AS DECIMAL(18,6)) + 1 AS DOUBLE), CAST(CAST(close AS DECIMAL(18,6)) + 1 AS DOUBLE), volume, n_trades
+FROM o_bars WHERE exchange <> 'ARCA'""",
 }
 
 ORACLES: dict[str, str] = {name: _with_views(query) for name, query in _QUERIES.items()}
