@@ -12,11 +12,13 @@ MIB = 1024 * 1024
 # More reducers than this cost the driver more in bookkeeping than they save in spilling.
 MAX_SHUFFLE_PARTITIONS = 32_000
 
-# UTC decides what a day is; the rest are the adaptive features the plans count on.
+# UTC decides what a day is; the rest are the adaptive features the plans count on. Rebalanced writes
+# aim at 256 MiB of shuffle per file, roughly 128 MiB of Parquet.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
@@ -59,11 +61,13 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for tables that a query writes and reads back.
 
     It lies in the shared folder named by `spark.checkpoint.dir`. Only when the session
-    names none (local tests) does it fall back to a temporary folder, removed at exit.
+    names none, in local mode only, is it a temporary folder, removed at exit.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{purpose}-{spark.sql('SELECT uuid()').first()[0]}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix=f"tapemill-{purpose}-")
     atexit.register(shutil.rmtree, local, ignore_errors=True)
     return local
