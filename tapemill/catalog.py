@@ -61,6 +61,17 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     return silver.silver_events(drop_null_keys(fixtures.bronze_events(spark, sf), ["event_id"]))
 
 
+def _table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Written to the scratch folder and read back: several uses of a table must not recompute it."""
+    path = f"{session.scratch_dir(spark, name)}/{name}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _events_table(spark: SparkSession, sf: str) -> DataFrame:
+    return _table(spark, _events(spark, sf), "silver-events")
+
+
 def _trades(spark: SparkSession, sf: str) -> DataFrame:
     """Deduplicated trades that pass the NOT NULL gate; gold needs no event columns."""
     rows = silver.deduplicated_trades(fixtures.bronze_trades(spark, sf))
@@ -71,13 +82,13 @@ def _quotes(spark: SparkSession, sf: str) -> DataFrame:
     return silver.silver_quotes(fixtures.bronze_quotes(spark, sf))
 
 
-def _windows(spark: SparkSession, sf: str) -> tuple[DataFrame, bool]:
-    windows = event_window.distinct_windows(event_window.calendar_events(_events(spark, sf)))
+def _windows(events: DataFrame) -> tuple[DataFrame, bool]:
+    windows = event_window.distinct_windows(event_window.calendar_events(events))
     return windows, event_window.windows_fit_broadcast(windows)
 
 
 def _window_minutes(spark: SparkSession, sf: str) -> DataFrame:
-    windows, small = _windows(spark, sf)
+    windows, small = _windows(_events_table(spark, sf))
     per_segment = event_window.segment_bars(_trades(spark, sf), event_window.window_segments(windows), small)
     return event_window.window_minutes(windows, per_segment, small)
 
@@ -216,7 +227,7 @@ def first_event_per_symbol_day(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def trade_event_enrich(spark: SparkSession, sf: str) -> DataFrame:
     """Enrichment alone, on all deliveries, before any dedup of trades."""
-    events = _events(spark, sf)
+    events = _events_table(spark, sf)
     ticks = silver.typed_trades(fixtures.bronze_trades(spark, sf)).withColumn("trade_date", F.to_date("exchange_ts"))
     calendar = dedup.first_event_per_symbol_day(events)
     return joins.enrich_with_event(ticks, calendar, joins.fits_broadcast(events)).select(
@@ -226,7 +237,7 @@ def trade_event_enrich(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def silver_trades(spark: SparkSession, sf: str) -> DataFrame:
-    events = _events(spark, sf)
+    events = _events_table(spark, sf)
     return silver.silver_trades(fixtures.bronze_trades(spark, sf), events, joins.fits_broadcast(events))
 
 
@@ -243,7 +254,7 @@ def silver_events(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def wap_trades(spark: SparkSession, sf: str) -> DataFrame:
     """Two published runs: first deliveries only, then everything again on top of them."""
-    events = _events(spark, sf)
+    events = _events_table(spark, sf)
     small = joins.fits_broadcast(events)
     table = Table(spark, session.scratch_dir(spark, "wap-trades"), silver.TRADES)
     rows = fixtures.bronze_trades(spark, sf).where(parse_timestamp("exchange_ts").isNotNull())
@@ -309,8 +320,8 @@ def dq_events(spark: SparkSession, sf: str) -> DataFrame:
 def row_count_gate(spark: SparkSession, sf: str) -> DataFrame:
     """The four gold gates for every day on which any trade was delivered."""
     days = fixtures.bronze_trades(spark, sf).select(F.col("_trade_date").alias("day")).distinct()
-    trades, events = _trades(spark, sf), _events(spark, sf)
-    _, small = _windows(spark, sf)
+    trades, events = _table(spark, _trades(spark, sf), "silver-trades"), _events_table(spark, sf)
+    _, small = _windows(events)
     gates = [
         ("ohlcv_1m", bars.ohlcv_1m(trades), F.to_date("bar_start"), 1),
         ("bid_ask_spread_1m", bars.bid_ask_spread_1m(_quotes(spark, sf)), F.to_date("bar_start"), 1),
@@ -354,7 +365,7 @@ def three_day_slice(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def event_window_join(spark: SparkSession, sf: str) -> DataFrame:
-    windows = event_window.with_bounds(event_window.calendar_events(_events(spark, sf)))
+    windows = event_window.with_bounds(event_window.calendar_events(_events_table(spark, sf)))
     small = joins.fits_broadcast(windows)
     return joins.join_event_windows(_trades(spark, sf), windows, small).select(
         "symbol", "exchange", "exchange_ts", "sequence_num", "price", "size",
@@ -374,8 +385,8 @@ def realized_vol(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _event_window(spark: SparkSession, sf: str) -> DataFrame:
-    _, small = _windows(spark, sf)
-    rows = event_window.event_windowed_volume(_trades(spark, sf), _events(spark, sf), small)
+    events = _events_table(spark, sf)
+    rows = event_window.event_windowed_volume(_trades(spark, sf), events, _windows(events)[1])
     return _rounded(rows, realized_vol=6)
 
 

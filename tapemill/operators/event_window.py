@@ -44,17 +44,15 @@ def windows_fit_broadcast(windows: DataFrame, max_rows: int = BROADCAST_ROWS) ->
 
 
 def _minutes_covered() -> Column:
-    return F.explode(
-        F.sequence(minute("window_start"), minute("window_end"), F.expr("INTERVAL 1 MINUTE"))
-    )
+    return F.sequence(minute("window_start"), minute("window_end"), F.expr("INTERVAL 1 MINUTE"))
 
 
 def window_segments(windows: DataFrame) -> DataFrame:
     """Half-open segments [seg_start, seg_end) of every covered minute of a symbol, without overlap."""
     after_end = F.col("window_end") + F.expr("INTERVAL 1 MICROSECOND")
-    minutes = windows.select("symbol", _minutes_covered().alias("seg_start"))
-    cuts = windows.select("symbol", F.explode(F.array("window_start", "event_ts", after_end)).alias("seg_start"))
-    points = minutes.unionByName(cuts).distinct().withColumn("bar_start", minute("seg_start"))
+    starts = F.concat(_minutes_covered(), F.array("window_start", "event_ts", after_end))
+    points = windows.select("symbol", F.explode(starts).alias("seg_start")).distinct()
+    points = points.withColumn("bar_start", minute("seg_start"))
     following = F.lead("seg_start").over(Window.partitionBy("bar_start", "symbol").orderBy("seg_start"))
     return points.withColumn("seg_end", F.coalesce(following, F.col("bar_start") + F.expr("INTERVAL 1 MINUTE")))
 
@@ -79,7 +77,7 @@ def segment_bars(trades: DataFrame, segments: DataFrame, small: bool) -> DataFra
 
 def window_minutes(windows: DataFrame, bars: DataFrame, small: bool) -> DataFrame:
     """Per window and minute: size before and from the event on, and the minute's last price."""
-    listed = windows.withColumn("bar_start", _minutes_covered())
+    listed = windows.withColumn("bar_start", F.explode(_minutes_covered()))
     inside = (F.col("seg_start") >= F.col("window_start")) & (F.col("seg_start") <= F.col("window_end"))
     before = F.col("seg_start") < F.col("event_ts")
     return (
