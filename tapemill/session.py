@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -58,16 +56,13 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder for tables that a query writes and reads back.
+    """A fresh folder for tables that a query writes and reads back, deleted when the session's JVM ends.
 
-    It lies in the shared folder named by `spark.checkpoint.dir`. Only when the session
-    names none, in local mode only, is it a temporary folder, removed at exit.
+    It lies in the shared folder named by `spark.checkpoint.dir`, or where the session names none, in a
+    folder of its warehouse, which executors share as well.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{purpose}-{spark.sql('SELECT uuid()').first()[0]}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    local = tempfile.mkdtemp(prefix=f"tapemill-{purpose}-")
-    atexit.register(shutil.rmtree, local, ignore_errors=True)
-    return local
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    path = f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4()}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
