@@ -23,8 +23,8 @@ from tapemill.llm.common import WORD_BYTES, bound_batches, stored
 
 HASH_BITS = 15
 # The fit takes at most this many labelled rows of at most this many characters, those of lowest hash.
-FIT_ROWS = 4_000
-FIT_CHARS = 8_000
+FIT_ROWS = 3_000
+FIT_CHARS = 5_000
 EPOCHS = 80
 RATE = 0.05
 DECAY = 1e-5
@@ -115,8 +115,8 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domain: Column, names: li
     known = labels.where("doc_id IS NOT NULL").select("doc_id", domain.alias("domain")).where(F.col("domain").isin(names))
     texts = docs.where(f"text IS NOT NULL AND length(text) <= {FIT_CHARS}").select("doc_id", "text")
     order = [F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "domain"]
-    sample = texts.join(known, "doc_id").orderBy(*order).limit(FIT_ROWS).toPandas()
-    return train(sample["text"].tolist(), sample["domain"].tolist(), names)
+    sample = texts.join(known, "doc_id").orderBy(*order).limit(FIT_ROWS).toArrow()
+    return train(sample["text"].to_pylist(), sample["domain"].to_pylist(), names)
 
 
 def members(docs: DataFrame, classifier: Classifier, kept_columns: list[str]) -> DataFrame:

@@ -33,8 +33,8 @@ LEAST_TEXTS = 3
 PAD = 20
 # The fit takes at most this many labelled rows, of at most this many characters each: those whose hash is
 # lowest. Everything is scored in full; only the fit is on a sample.
-FIT_ROWS = 5_000
-FIT_CHARS = 8_000
+FIT_ROWS = 4_000
+FIT_CHARS = 5_000
 THRESHOLD = 0.7
 # Words a task remembers before it starts over.
 MEMORY = 400_000
@@ -95,19 +95,20 @@ class _Words(dict):
 class _Pool:
     """Weighted sums of `values[:, source]` into `target`, and back, over pairs (source, target, weight)."""
 
-    def __init__(self, source: np.ndarray, target: np.ndarray, weight: np.ndarray):
+    def __init__(self, source: np.ndarray, target: np.ndarray, weight: np.ndarray, sources: int, targets: int):
         self.ways = []
-        for into, out_of in ((target, source), (source, target)):
-            order = np.argsort(into, kind="stable")
+        for into, out_of, size in ((target, source, targets), (source, target, sources)):
+            order = np.argsort(into, kind="stable").astype(np.int32)
             keys = into[order]
-            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            self.ways.append((out_of[order], weight[order], starts, keys[starts], int(into.max()) + 1))
+            starts = np.flatnonzero(np.diff(keys, prepend=-1))
+            self.ways.append((out_of[order], weight[order], starts, keys[starts], size))
 
     def sum(self, values: np.ndarray, back: bool = False) -> np.ndarray:
         out_of, weight, starts, keys, size = self.ways[back]
         sums = np.zeros((len(values), size), np.float32)
         for k, row in enumerate(values):
-            sums[k, keys] = np.add.reduceat(row[out_of] * weight, starts)
+            if len(starts):
+                sums[k, keys] = np.add.reduceat(row[out_of] * weight, starts)
         return sums
 
 
@@ -127,42 +128,46 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     if rows == 0 or y.min() == y.max():
         share = (y.sum() + 1.0) / (rows + 2.0) if rows else 0.5
         return Model(np.zeros(1 << HASH_BITS), float(np.log(share / (1 - share))))
-    words, docs = np.array(words), np.array(docs)
-    bags = [np.array(grams_of(w)) for w in vocabulary]
-    sizes = np.array([len(b) for b in bags])
-    owner = np.repeat(np.arange(len(bags)), sizes)
-    buckets, grams = np.unique(np.concatenate(bags), return_inverse=True)
+    words, docs = np.array(words, np.int32), np.array(docs, np.int32)
+    sizes = np.zeros(len(vocabulary), np.int32)
+
+    def all_grams() -> Iterator[int]:
+        for k, word in enumerate(vocabulary):
+            found = grams_of(word)
+            sizes[k] = len(found)
+            yield from found
+
+    grams = np.fromiter(all_grams(), np.int32)
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     # Buckets met in few texts would only be learnt by heart.
-    seen = np.bincount(grams, np.bincount(words)[owner])
-    often = seen[grams] >= LEAST_TEXTS
-    into_words = _Pool(grams[often], owner[often], (1.0 / sizes[owner[often]]).astype(np.float32))
-    into_docs = _Pool(words, docs, np.array(shares, np.float32))
+    often = (np.bincount(grams, np.bincount(words)[owner], 1 << HASH_BITS) >= LEAST_TEXTS)[grams]
+    grams, owner = grams[often], owner[often]
+    into_words = _Pool(grams, owner, (1.0 / sizes[owner]).astype(np.float32), 1 << HASH_BITS, len(sizes))
+    into_docs = _Pool(words, docs, np.array(shares, np.float32), len(sizes), rows)
 
     rng = np.random.default_rng(seed)
-    e = rng.normal(0, 0.02, (WIDTH, len(buckets))).astype(np.float32)
+    e = rng.normal(0, 0.02, (WIDTH, 1 << HASH_BITS)).astype(np.float32)
     u = (np.array([[-1.0], [1.0]]) + rng.normal(0, 0.1, (2, WIDTH))).astype(np.float32)
     b = np.zeros((2, 1), np.float32)
     target = np.stack([1 - y, y])
     # Both classes weigh the same, however rare one is.
     weight = (target / target.sum(axis=1, keepdims=True)).sum(axis=0) / 2
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in (e, u, b)]
-    pad = lambda a, n: np.pad(a, ((0, 0), (0, n - a.shape[1])))  # noqa: E731  buckets or words at the end may be unused
     for step in range(1, EPOCHS + 1):
-        word = pad(into_words.sum(e), len(bags))
+        word = into_words.sum(e)
         doc = into_docs.sum(word) * SCALE
         logits = u @ doc + b
         p = np.exp(logits - logits.max(axis=0))
         p /= p.sum(axis=0)
         g = (p - target) * weight
         g_word = into_docs.sum(u.T @ g * SCALE, back=True)
-        g_e = pad(into_words.sum(g_word, back=True), len(buckets)) + DECAY * e
+        g_e = into_words.sum(g_word, back=True) + DECAY * e
         for (m, v), param, grad in zip(state, (e, u, b), (g_e, g @ doc.T, g.sum(axis=1, keepdims=True))):
             m += 0.1 * (grad - m)
             v += 0.01 * (grad * grad - v)
             param -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    weights = np.zeros(1 << HASH_BITS)
-    weights[buckets] = (u[1] - u[0]) @ e * SCALE
-    weights[buckets[seen < LEAST_TEXTS]] = 0.0
+    weights = (u[1] - u[0]) @ e * SCALE
+    weights[np.setdiff1d(np.arange(1 << HASH_BITS), grams)] = 0.0
     return Model(weights, float(b[1, 0] - b[0, 0]))
 
 
@@ -178,9 +183,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         texts.join(known, "doc_id")
         .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "toxic")
         .limit(FIT_ROWS)
-        .toPandas()
+        .toArrow()
     )
-    return train(sample["text"].tolist(), sample["toxic"].tolist())
+    return train(sample["text"].to_pylist(), sample["toxic"].to_pylist())
 
 
 def score_of(spark: SparkSession, model: Model):
