@@ -59,6 +59,18 @@ def text_of(docs: DataFrame) -> Column:
     return F.coalesce(docs["text"].cast("string"), F.lit(""))
 
 
+def labelled_sample(docs: DataFrame, known: DataFrame, label: str, rows: int, chars: int):
+    """At most `rows` (text, label) of known (doc_id, label), texts of at most `chars` characters, as an Arrow table.
+
+    Labels of lowest hash go first; three times as many as rows are asked for are looked up, which bounds
+    what is broadcast, because some are of long, NULL or unknown texts. The order is the same for any layout.
+    """
+    lowest = known.orderBy(F.xxhash64("doc_id"), "doc_id", label).limit(3 * rows)
+    texts = docs.where(f"text IS NOT NULL AND length(text) <= {chars}").select("doc_id", "text")
+    order = [F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), label]
+    return texts.join(F.broadcast(lowest), "doc_id").orderBy(*order).limit(rows).select("text", label).toArrow()
+
+
 def crc_mod(column: Column, divisor: int) -> Column:
     """crc32 of an id written as text, modulo a number; NULL counts as the empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % divisor

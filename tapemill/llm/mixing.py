@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapemill.llm.common import WORD_BYTES, bound_batches, stored
+from tapemill.llm.common import WORD_BYTES, bound_batches, labelled_sample, stored
 
 HASH_BITS = 15
 # The fit takes at most this many labelled rows of at most this many characters, those of lowest hash.
@@ -28,8 +28,8 @@ FIT_CHARS = 5_000
 EPOCHS = 80
 RATE = 0.05
 DECAY = 1e-5
-MAX_STEPS = 60
-TOLERANCE = 1e-6
+MAX_STEPS = 30
+TOLERANCE = 1e-5
 MEMORY = 400_000
 
 # Token shares of the domains that the labels make: good text, poor text, good text that is toxic.
@@ -113,9 +113,7 @@ def train(texts: list[str], domains: list[str], names: list[str]) -> Classifier:
 def fit_classifier(docs: DataFrame, labels: DataFrame, domain: Column, names: list[str]) -> Classifier:
     """Train on a bounded sample of labelled rows; rows without id, text or domain are not used."""
     known = labels.where("doc_id IS NOT NULL").select("doc_id", domain.alias("domain")).where(F.col("domain").isin(names))
-    texts = docs.where(f"text IS NOT NULL AND length(text) <= {FIT_CHARS}").select("doc_id", "text")
-    order = [F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "domain"]
-    sample = texts.join(known, "doc_id").orderBy(*order).limit(FIT_ROWS).toArrow()
+    sample = labelled_sample(docs, known, "domain", FIT_ROWS, FIT_CHARS)
     return train(sample["text"].to_pylist(), sample["domain"].to_pylist(), names)
 
 
@@ -157,6 +155,10 @@ def rate_after(steps: list[list[float]], least: float) -> Column:
     return F.aggregate(vectors, F.lit(max(1.0, float(least))), move)
 
 
+def _inverse(gram: np.ndarray) -> np.ndarray:
+    return np.linalg.pinv(gram + np.eye(len(gram)) * gram.trace() * 1e-9)
+
+
 def fit_rates(rows: DataFrame, targets: list[float], least: float = 0.0, budget: float | None = None) -> Column:
     """Rates of at least `least` whose expected tokens by domain match `targets` (shares) of `budget` tokens.
 
@@ -177,13 +179,26 @@ def fit_rates(rows: DataFrame, targets: list[float], least: float = 0.0, budget:
     gram = np.array([[first[f"g{i}_{j}"] or 0.0 for j in range(k)] for i in range(k)])
     total = budget or (have.sum() if least == 0 else max(least, 1.0) * float((have / share).max()))
     goal = share * total
-    inverse = np.linalg.pinv(gram + np.eye(k) * gram.trace() * 1e-9)
+    safe = _inverse(gram)
     steps: list[list[float]] = []
-    residual = goal - have * max(1.0, least)
-    while np.abs(residual).max() > TOLERANCE * total and len(steps) < MAX_STEPS:
-        steps.append((inverse @ residual).tolist())
-        expected = rows.agg(*[F.sum(rate_after(steps, least) * F.col("tokens") * p[i]).alias(f"s{i}") for i in range(k)]).first()
-        residual = goal - np.array([expected[f"s{i}"] for i in range(k)])
+    residual, quick = goal - have * max(1.0, least), safe
+    for _ in range(MAX_STEPS):
+        if np.abs(residual).max() <= TOLERANCE * total:
+            break
+        # Rates at the bound no longer move: a step for the others only is longer, and kept if it helps.
+        trial = [*steps, (quick @ residual).tolist()]
+        rate = rate_after(trial, least)
+        free = F.col("tokens") * (rate > least).cast("double")
+        seen = rows.agg(
+            *[F.sum(rate * F.col("tokens") * p[i]).alias(f"s{i}") for i in range(k)],
+            *[F.sum(free * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(k)],
+        ).first()
+        after = goal - np.array([seen[f"s{i}"] for i in range(k)])
+        if quick is safe or np.linalg.norm(after) < 0.9 * np.linalg.norm(residual):
+            steps, residual = trial, after
+            quick = _inverse(np.array([[seen[f"g{i}_{j}"] for j in range(k)] for i in range(k)]))
+        else:
+            quick = safe
     return rate_after(steps, least)
 
 

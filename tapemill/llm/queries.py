@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapemill.llm import decontamination, exact_dedup, mixing, sharding, simhash, toxicity
+from tapemill.llm import decontamination, exact_dedup, licenses, mixing, pii, quality, sharding, simhash, suffix_dedup, toxicity
 from tapemill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,10 +24,26 @@ def op3_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_manifest(table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_notices(table(spark, sf_dir, "documents"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -38,7 +54,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_soft_mixing, op2_simhash, op3_hash_tree, op5_exact_dedup, op9_decontamination, op10_toxicity)
+    for f in (
+        op1_soft_mixing, op2_simhash, op3_hash_tree, op4_pii, op5_exact_dedup,
+        op6_licenses, op7_quality, op8_repeated_passages, op9_decontamination, op10_toxicity,
+    )
 }
 
 ORACLES: dict[str, str] = {

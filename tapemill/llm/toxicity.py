@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapemill.llm.common import WORD_BYTES, bound_batches, crc_mod
+from tapemill.llm.common import WORD_BYTES, bound_batches, crc_mod, labelled_sample
 
 HASH_BITS = 18
 GRAMS = (3, 4, 5, 6)
@@ -178,13 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     known = known.where(crc_mod(F.col("doc_id"), 3) != 1)
-    texts = docs.where(f"text IS NOT NULL AND length(text) <= {FIT_CHARS}").select("doc_id", "text")
-    sample = (
-        texts.join(known, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "toxic")
-        .limit(FIT_ROWS)
-        .toArrow()
-    )
+    sample = labelled_sample(docs, known, "toxic", FIT_ROWS, FIT_CHARS)
     return train(sample["text"].to_pylist(), sample["toxic"].to_pylist())
 
 
