@@ -31,8 +31,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard and its slot there, after the columns of documents."""
-    return sharding.sharded(docs)
+    """The manifest of shards: where every row goes. sharding.write_shards writes the texts accordingly."""
+    return sharding.shard_manifest(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
