@@ -50,7 +50,9 @@ _DIGIT_WORD = rf"(?:{'|'.join(SPELLED)})"
 _DIGIT_RUN = re.compile(rf"(?i)(?<![A-Za-z])(?=\+?(?:[0-9][ -]){{0,3}}{_DIGIT_WORD}\b)\+?(?:{_DIGIT_WORD}|[0-9]+)(?:[ -](?:{_DIGIT_WORD}|[0-9]+))++(?![A-Za-z])")
 _TOKEN = re.compile(rf"(?i){_DIGIT_WORD}|[0-9]+|[ +-]")
 _BRACKETED = re.compile(r"(?i) ?[\[({<] ?(at|dot|@|\.) ?[\])}>] ?")
-_SPOKEN = re.compile(r"(?i)(?<=[A-Za-z0-9]) at (?=[A-Za-z0-9-]+ dot [A-Za-z])|(?<=[A-Za-z0-9]) dot (?=[A-Za-z0-9])")
+# Words are only taken for signs where a top-level domain follows.
+_TOP = r"(?:[A-Za-z0-9-]+ dot )*(?:com|org|net|edu|gov|info|[A-Za-z]{2})\b"
+_SPOKEN = re.compile(rf"(?i)(?<=[A-Za-z0-9]) at (?=[A-Za-z0-9-]+ dot {_TOP})|(?<=[A-Za-z0-9]) dot (?={_TOP})")
 
 
 def _luhn(digits: str) -> bool:
