@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from tapemill.session import configure, scratch_dir
 
 # A Python task holds one Arrow batch of whole texts at a time.
-ARROW_ROWS = 512
-ARROW_BYTES = "16m"
+ARROW_ROWS = 256
+ARROW_BYTES = "8m"
 
 _SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
 # Bytes of UTF-8 text with A-Z lower-cased and every other ASCII character but a-z and 0-9 as a space.
