@@ -7,7 +7,8 @@ import pytest
 
 from tapemill.llm import decontamination, exact_dedup, mixing, sharding, simhash, toxicity
 from tapemill.llm.common import components
-from tests.llm.conftest import BENCHMARK, DOCUMENTS, LABELS, MESSY, PROSE, WORDS
+from llm_cases import documents  # noqa: F401  a fixture
+from llm_cases import BENCHMARK, DOCUMENTS, LABELS, MESSY, PROSE, WORDS
 
 
 def as_rows(frame):

@@ -9,7 +9,8 @@ import pytest
 import regex
 
 from tapemill.llm import licenses, pii, quality, queries, suffix_dedup
-from tests.llm.conftest import LABELS, MESSY, PROSE
+from llm_cases import documents  # noqa: F401  a fixture
+from llm_cases import LABELS, MESSY, PROSE
 
 SF = "/root/testdata/sf0.001"
 
