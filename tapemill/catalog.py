@@ -150,7 +150,7 @@ def ingest_trades_jsonl(spark: SparkSession, sf: str) -> DataFrame:
     """Hourly gzip drops of all trades, written by Spark and read back through the source."""
     root = f"{session.scratch_dir(spark, 'raw-trades')}/raw/trades"
     rows = _with_hour(fixtures.bronze_trades(spark, sf), "_trade_date").drop("_ingest_ts", "_trade_date")
-    rows.write.partitionBy("dt", "hh").option("compression", "gzip").json(root)
+    rows.hint("rebalance", "dt", "hh").write.partitionBy("dt", "hh").option("compression", "gzip").json(root)
     return raw.read_json_lines(spark, RAW_TRADES, [root])
 
 
@@ -158,7 +158,7 @@ def ingest_trades_jsonl(spark: SparkSession, sf: str) -> DataFrame:
 def ingest_quotes_jsonl(spark: SparkSession, sf: str) -> DataFrame:
     root = f"{session.scratch_dir(spark, 'raw-quotes')}/raw/quotes"
     rows = _with_hour(fixtures.bronze_quotes(spark, sf), "_quote_date").drop("_ingest_ts", "_quote_date")
-    rows.write.partitionBy("dt", "hh").option("compression", "gzip").json(root)
+    rows.hint("rebalance", "dt", "hh").write.partitionBy("dt", "hh").option("compression", "gzip").json(root)
     return raw.read_json_lines(spark, RAW_QUOTES, [root])
 
 
@@ -166,7 +166,8 @@ def ingest_quotes_jsonl(spark: SparkSession, sf: str) -> DataFrame:
 def ingest_events_csv(spark: SparkSession, sf: str) -> DataFrame:
     root = f"{session.scratch_dir(spark, 'raw-events')}/raw/events"
     rows = fixtures.bronze_events(spark, sf).withColumn("dt", F.col("_event_load_date"))
-    rows.drop("_ingest_ts", "_event_load_date").write.partitionBy("dt").option("header", True).csv(root)
+    rows = rows.drop("_ingest_ts", "_event_load_date").hint("rebalance", "dt")
+    rows.write.partitionBy("dt").option("header", True).csv(root)
     return raw.read_events_csv(spark, [root])
 
 
@@ -366,8 +367,8 @@ def three_day_slice(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def event_window_join(spark: SparkSession, sf: str) -> DataFrame:
     windows = event_window.with_bounds(event_window.calendar_events(_events_table(spark, sf)))
-    small = joins.fits_broadcast(windows)
-    return joins.join_event_windows(_trades(spark, sf), windows, small).select(
+    listed = joins.windows_by_hour(windows)
+    return joins.join_event_windows(_trades(spark, sf), listed, joins.fits_broadcast(listed)).select(
         "symbol", "exchange", "exchange_ts", "sequence_num", "price", "size",
         "event_id", "event_type", "event_ts", "window_start", "window_end",
     )

@@ -58,10 +58,11 @@ def create_tables(lake: Lake) -> list[str]:
 
 
 def _load(lake: Lake, name: str, rows: DataFrame, run_id: str) -> Pointer | None:
+    """Emptiness is tested before the reduction to one row per key, which would run twice otherwise."""
     if rows.isEmpty():
         log.info("%s run %s: nothing to load", name, run_id)
         return None
-    return write_audit_publish(lake.table(name), rows, run_id)
+    return write_audit_publish(lake.table(name), bronze.merge_source(rows, name), run_id)
 
 
 def _instant(ingest_ts: datetime | None) -> datetime:
@@ -74,7 +75,7 @@ def ingest_trades(
     """Several hours may be named, so that a run can look back for late files."""
     rows = raw.read_trades(lake.spark, lake.raw_root, day, hours)
     rows = bronze.with_lineage(rows, "_trade_date", day, _instant(ingest_ts))
-    return _load(lake, "bronze.trades_raw", bronze.merge_source(rows, "bronze.trades_raw"), run_id)
+    return _load(lake, "bronze.trades_raw", rows, run_id)
 
 
 def ingest_quotes(
@@ -82,7 +83,7 @@ def ingest_quotes(
 ) -> Pointer | None:
     rows = raw.read_quotes(lake.spark, lake.raw_root, day, hours)
     rows = bronze.with_lineage(rows, "_quote_date", day, _instant(ingest_ts))
-    return _load(lake, "bronze.quotes_raw", bronze.merge_source(rows, "bronze.quotes_raw"), run_id)
+    return _load(lake, "bronze.quotes_raw", rows, run_id)
 
 
 def ingest_events(lake: Lake, day: date, run_id: str, ingest_ts: datetime | None = None) -> Pointer | None:
@@ -91,7 +92,7 @@ def ingest_events(lake: Lake, day: date, run_id: str, ingest_ts: datetime | None
     nameless = rows.where(F.col("event_id").isNull()).count()
     if nameless:
         log.warning("bronze.events_raw run %s: dropped %d row(s) without event_id", run_id, nameless)
-    return _load(lake, "bronze.events_raw", bronze.event_merge_source(rows), run_id)
+    return _load(lake, "bronze.events_raw", rows.where(F.col("event_id").isNotNull()), run_id)
 
 
 # Silver ------------------------------------------------------------------------------------------

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapemill.functions.keys import any_missing, numbers_first
+from tapemill.functions.keys import all_present, any_missing, numbers_first
 
 # Later columns only break ties, so that a re-run picks the same row.
 TRADE_ORDER = ("_ingest_ts", "trade_id", "price", "size", "side")
@@ -30,10 +30,11 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 
 
 def one_per_merge_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """Like `keep_first`, but rows with a NULL in the key all stay, since no merge matches them."""
-    apart = F.when(any_missing(keys), F.monotonically_increasing_id())
-    tagged = df.withColumn("_apart", apart)
-    return keep_first(tagged, [*keys, "_apart"], order).drop("_apart")
+    """Like `keep_first`, but rows with a NULL in the key all stay, since no merge matches them.
+
+    They stay where they are; the others are partitioned by the key alone, as a join on it wants them.
+    """
+    return keep_first(df.where(all_present(keys)), keys, order).unionByName(df.where(any_missing(keys)))
 
 
 def first_event_per_symbol_day(events: DataFrame) -> DataFrame:

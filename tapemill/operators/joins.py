@@ -40,17 +40,21 @@ def enrich_with_event(trades: DataFrame, first_events: DataFrame, small: bool) -
     return trades.join(sized(calendar, small), same_day, "left").drop("_ev_symbol", "_ev_date")
 
 
-def join_event_windows(trades: DataFrame, windows: DataFrame, small: bool) -> DataFrame:
-    """Every trade with every window of its symbol that holds it, both bounds closed.
-
-    Each window is listed under the hours it touches and trades look up their own hour, so the
-    join stays an equi-join on (symbol, hour) and the range is only checked within one hour.
-    A trade has one hour, hence no pair appears twice.
-    """
+def windows_by_hour(windows: DataFrame) -> DataFrame:
+    """Each window under every hour it touches. This is the side that a join broadcasts, so measure it."""
     hours = F.sequence(
         F.date_trunc("hour", "window_start"), F.date_trunc("hour", "window_end"), F.expr("INTERVAL 1 HOUR")
     )
-    listed = windows.withColumn("_hour", F.explode(hours))
+    return windows.withColumn("_hour", F.explode(hours))
+
+
+def join_event_windows(trades: DataFrame, listed: DataFrame, small: bool) -> DataFrame:
+    """Every trade with every window of its symbol that holds it, both bounds closed.
+
+    Windows come from `windows_by_hour` and trades look up their own hour, so the join stays an
+    equi-join on (symbol, hour) and the range is only checked within one hour. A trade has one
+    hour, hence no pair appears twice.
+    """
     inside = (F.col("exchange_ts") >= F.col("window_start")) & (F.col("exchange_ts") <= F.col("window_end"))
     ticks = trades.select(*TICK_COLUMNS, F.date_trunc("hour", "exchange_ts").alias("_hour"))
     return ticks.join(sized(listed, small), ["symbol", "_hour"]).where(inside).drop("_hour")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapemill.functions.keys import all_present, numbers_first
+from tapemill.functions.keys import all_present, any_missing, numbers_first
 
 AMBIGUOUS = "upsert: several source rows match one target row"
 
@@ -30,5 +30,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
         .when(F.col("_matches") == 1, False)
         .otherwise(F.raise_error(AMBIGUOUS).cast("boolean"))
     )
-    kept = target.join(matches, on, "left").where(untouched)
-    return kept.select(*target.columns).unionByName(source.select(*target.columns))
+    keyed = drop_null_keys(target, keys).join(matches, on, "left").where(untouched)
+    # Target rows without a whole key match nothing; in the join they would all meet in one task.
+    kept = keyed.select(*target.columns).unionByName(target.where(any_missing(keys)))
+    return kept.unionByName(source.select(*target.columns))

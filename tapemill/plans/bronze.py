@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapemill.operators.dedup import one_per_merge_key
+from tapemill.operators.dedup import keep_first, one_per_merge_key
 from tapemill.operators.upsert import drop_null_keys
 from tapemill.specs import TABLES
 
@@ -36,7 +36,9 @@ def merge_source(rows: DataFrame, table: str) -> DataFrame:
 
 def event_merge_source(rows: DataFrame) -> DataFrame:
     """Events without an id can never be merged and are dropped first."""
-    return merge_source(drop_null_keys(rows, TABLES["bronze.events_raw"].keys), "bronze.events_raw")
+    spec = TABLES["bronze.events_raw"]
+    others = [c for c in spec.columns if c not in spec.keys]
+    return keep_first(drop_null_keys(rows, spec.keys), spec.keys, others)
 
 
 def day_slice(bronze: DataFrame, day_column: str, day: date) -> DataFrame:

@@ -7,8 +7,6 @@ import uuid
 from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
-# More reducers than this cost the driver more in bookkeeping than they save in spilling.
-MAX_SHUFFLE_PARTITIONS = 32_000
 
 # UTC decides what a day is; the rest are the adaptive features the plans count on. Rebalanced writes
 # aim at 256 MiB of shuffle per file, roughly 128 MiB of Parquet.
@@ -46,9 +44,10 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
 
     Rows take about four times their Parquet size in a shuffle, so 32 MiB of input make a 128 MiB
     partition. Adaptive execution merges what turns out small; it cannot split what was planned
-    too coarse. Never lowers the session's own setting.
+    too coarse. Never lowers the session's own setting. There is no upper limit: at a petabyte raise
+    `spark.sql.files.maxPartitionBytes` too, so that maps times reducers stays bearable.
     """
-    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes // (32 * MIB)))
+    wanted = -(-input_bytes // (32 * MIB))
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     current = int(spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions"))
     if wanted > current:

@@ -120,7 +120,7 @@ def test_segments_equal_all_pairs_with_close_cuts(spark, frame):
         F.lit("SPLIT").alias("event_type"),
         F.expr("timestamp_micros(1705311000000000 + id * 17000001)").alias("event_start"),
     )
-    pairs = joins.join_event_windows(trades, ew.with_bounds(ew.calendar_events(events)), True)
+    pairs = joins.join_event_windows(trades, joins.windows_by_hour(ew.with_bounds(ew.calendar_events(events))), True)
     pre = F.col("exchange_ts") < F.col("event_ts")
     expected = pairs.groupBy("event_id").agg(
         F.sum(F.when(pre, F.col("size")).otherwise(0)).alias("pre_volume"),
@@ -134,7 +134,9 @@ def test_segments_equal_all_pairs_with_close_cuts(spark, frame):
 @pytest.mark.parametrize("small", [True, False])
 def test_pair_join_counts_a_trade_once_per_window(frame, small):
     windows = ew.with_bounds(ew.calendar_events(frame(EVENTS, event(name="A"), event("2024-01-15T12:30:00", "B"))))
-    out = joins.join_event_windows(frame(TRADES, trade("2024-01-15T12:10:00"), trade("2024-01-15T11:10:00")), windows, small)
+    out = joins.join_event_windows(
+        frame(TRADES, trade("2024-01-15T12:10:00"), trade("2024-01-15T11:10:00")), joins.windows_by_hour(windows), small
+    )
     assert sorted((r.event_id, r.exchange_ts.minute) for r in out.collect()) == [("A", 10), ("A", 10), ("B", 10)]
 
 

@@ -70,7 +70,7 @@ def test_shuffles_grow_with_the_input(spark):
         session.size_shuffles(spark, 64 * 1024 * session.MIB)
         assert spark.conf.get(key) == "2048"
         session.size_shuffles(spark, 100 * 1024 * 1024 * session.MIB)
-        assert spark.conf.get(key) == str(session.MAX_SHUFFLE_PARTITIONS)
+        assert spark.conf.get(key) == str(100 * 1024 * 1024 // 32)
     finally:
         spark.conf.unset(key)
 

@@ -85,3 +85,11 @@ def test_a_key_holding_a_third_of_all_rows(spark):
     assert kept.count() == 40_001
     source = spark.createDataFrame([("hot", 1, -1)], SCHEMA)
     assert upsert(rows, source, KEYS).count() == 40_001
+
+
+def test_rows_without_a_key_never_reach_the_join(spark):
+    """However many they are, they are kept as they come and matched by nothing."""
+    target = spark.createDataFrame([(None, i) for i in range(50)] + [(1, 1), (2, 2)], "k long, v long")
+    source = spark.createDataFrame([(1, 10), (None, 99)], "k long, v long")
+    out = sorted((r["k"] or 0, r["v"]) for r in upsert(target, source, ["k"]).collect())
+    assert out == sorted([(0, i) for i in range(50)] + [(1, 10), (2, 2), (0, 99)])
