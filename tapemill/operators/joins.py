@@ -24,7 +24,7 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
 
 
 def sized(df: DataFrame, small: bool) -> DataFrame:
-    """Broadcast a side measured as small; otherwise ask for a merge join, whose hot keys AQE splits."""
+    """Broadcast a side measured as small; otherwise ask for a merge join."""
     return F.broadcast(df) if small else df.hint("merge")
 
 

@@ -5,6 +5,8 @@ from compare import connect, differences
 from conftest import DATA
 
 import __spark_entry__ as entry
+from tapemill.catalog import QUERIES
+from tapemill.oracles import ORACLES
 
 
 @pytest.fixture(scope="module", params=["sf0.001"])
@@ -16,10 +18,11 @@ def data(request):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, data, name):
     path, con = data
     rows, diff = differences(entry.queries()[name](spark, path), con, entry.oracle_sql()[name])
