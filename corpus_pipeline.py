@@ -3,11 +3,40 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tapemill.llm import decontamination, mixing, sharding, simhash, toxicity
-from tapemill.llm.common import stored, table
+from tapemill.llm.common import drop_stored, noting_stored, stored, table
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+# Folders of the tables that each stage stored in its last call, by the stage's function name.
+_left_by: dict[str, list[str]] = {}
+
+
+def _after(before: str) -> Callable[[Stage], Stage]:
+    """A stage that first deletes what the stage before it stored to make its result.
+
+    Stages hand on written Parquet, so those tables are of no more use, and only one stage's lie on the disk at
+    a time. If the unwritten result itself is handed on instead, it still reads them and they stay.
+    """
+
+    def wrap(stage: Stage) -> Stage:
+        @wraps(stage)
+        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            left = _left_by.get(before)
+            if left and not any(folder in file for file in docs.inputFiles() for folder in left):
+                drop_stored(spark, _left_by.pop(before))
+            with noting_stored() as folders:
+                result = stage(spark, docs, sf_dir)
+            _left_by.setdefault(stage.__name__, []).extend(folders)
+            return result
+
+        return run_stage
+
+    return wrap
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,27 +44,31 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents"))
 
 
+@_after("drop_toxic")
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays."""
     return simhash.one_of_each(docs)
 
 
+@_after("drop_near_copies")
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that repeat benchmark passages go."""
     return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_after("drop_contaminated")
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated so that the domains' tokens meet their target shares; all stay."""
     return mixing.remixed(docs, table(spark, sf_dir, "labels"))
 
 
+@_after("mix")
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The manifest of shards: where every row goes. sharding.write_shards writes the texts accordingly."""
     return sharding.shard_manifest(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
     ("simhash near-dedup", drop_near_copies),
     ("benchmark decontamination", drop_contaminated),
@@ -49,7 +82,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written to the shared folder before the next one reads it."""
-    docs = table(spark, sf_dir, "documents")
+    docs, written = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with noting_stored() as folders:
+            docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        drop_stored(spark, written)
+        written = folders
     return STAGES[-1][1](spark, docs, sf_dir)

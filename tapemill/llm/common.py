@@ -7,11 +7,18 @@ then on; it tells rows apart that agree in every column, whatever their doc_id i
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapemill.session import configure, scratch_dir
 
+# Folders of the tables stored since the innermost `noting_stored` began; None outside of one.
+_NOTED: ContextVar[list[str] | None] = ContextVar("stored folders", default=None)
+
 # A Python task holds one Arrow batch of whole texts at a time.
 ARROW_ROWS = 256
 ARROW_BYTES = "8m"
@@ -37,10 +44,29 @@ def bound_batches(spark: SparkSession) -> None:
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: lineage ends here, and the size is known."""
     path = scratch_dir(df.sparkSession, purpose)
+    if (noted := _NOTED.get()) is not None:
+        noted.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def noting_stored() -> Iterator[list[str]]:
+    """The folders that `stored` writes inside the block, for `drop_stored` once nobody reads them any more."""
+    token = _NOTED.set([])
+    try:
+        yield _NOTED.get()
+    finally:
+        _NOTED.reset(token)
+
+
+def drop_stored(spark: SparkSession, folders: list[str]) -> None:
+    """Delete stored tables. A folder that is gone already is no fault."""
+    for path in folders:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stored_rows(docs: DataFrame, columns: dict[str, Column], purpose: str) -> DataFrame:
     """Store every row as `row`, with a unique `mark` and the given columns."""
     bound_batches(docs.sparkSession)

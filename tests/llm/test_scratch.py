@@ -1,0 +1,34 @@
+"""What the pipeline leaves in the shared folder while it runs."""
+
+import corpus_pipeline
+from tapemill.llm.common import drop_stored, noting_stored, stored
+
+
+def test_stored_tables_are_noted_and_dropped(spark):
+    with noting_stored() as outer:
+        first = stored(spark.range(3), "outer")
+        with noting_stored() as inner:
+            second = stored(spark.range(4), "inner")
+    assert (len(outer), len(inner)) == (1, 1) and (first.count(), second.count()) == (3, 4)
+    drop_stored(spark, inner + inner)
+    assert first.count() == 3 and not _exists(spark, inner[0])
+
+
+def _exists(spark, path):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def test_a_stage_deletes_what_the_one_before_stored(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "a b c d"), (3, "x y z")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([("i", "q r s")], "item_id string, text string")
+    benchmark.write.parquet(str(tmp_path / "benchmark.parquet"))
+    unwritten = corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path))
+    made = list(corpus_pipeline._left_by["drop_near_copies"])
+    # Handed on as it is, the result still reads its tables.
+    assert {r["doc_id"] for r in corpus_pipeline.drop_contaminated(spark, unwritten, str(tmp_path)).collect()} == {1, 3}
+    assert any(_exists(spark, path) for path in made)
+    unwritten.write.parquet(str(tmp_path / "kept"))
+    kept = spark.read.parquet(str(tmp_path / "kept"))
+    assert {r["doc_id"] for r in corpus_pipeline.drop_contaminated(spark, kept, str(tmp_path)).collect()} == {1, 3}
+    assert not any(_exists(spark, path) for path in made)
