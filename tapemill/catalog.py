@@ -49,11 +49,6 @@ def _rounded(df: DataFrame, **digits: int) -> DataFrame:
     return df.withColumns({name: F.round(name, places) for name, places in digits.items()})
 
 
-def _rounded_mean(df: DataFrame, name: str) -> DataFrame:
-    """Means of cents often end exactly on a half of the fourth place; the offset moves them off it."""
-    return df.withColumn(name, F.round(F.col(name) + 0.0000123456789, 4))
-
-
 # Shared inputs -----------------------------------------------------------------------------------
 
 
@@ -254,14 +249,24 @@ def silver_events(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def wap_trades(spark: SparkSession, sf: str) -> DataFrame:
-    """Two published runs: first deliveries only, then everything again on top of them."""
+    """Two published runs: first deliveries only, then everything again on top of them.
+
+    Rows whose timestamp cannot be read fail the audit's NOT NULL rule; they are set apart and returned as
+    not published.
+    """
     events = _events_table(spark, sf)
     small = joins.fits_broadcast(events)
     table = Table(spark, session.scratch_dir(spark, "wap-trades"), silver.TRADES)
-    rows = fixtures.bronze_trades(spark, sf).where(parse_timestamp("exchange_ts").isNotNull())
+    deliveries = fixtures.bronze_trades(spark, sf)
+    readable = parse_timestamp("exchange_ts").isNotNull()
+    rows = deliveries.where(readable)
     for run_id, delivered in (("slot1", rows.where(F.col("trade_id").startswith("T-"))), ("slot2", rows)):
         write_audit_publish(table, silver.silver_trades(delivered, events, small), run_id, "silver_trades_quality")
-    return table.read()
+    rejected = silver.silver_trades(deliveries.where(~readable), events, small)
+    return (
+        table.read().withColumn("published", F.lit(True))
+        .unionByName(rejected.withColumn("published", F.lit(False)))
+    )
 
 
 @_query
@@ -321,6 +326,7 @@ def dq_events(spark: SparkSession, sf: str) -> DataFrame:
 def row_count_gate(spark: SparkSession, sf: str) -> DataFrame:
     """The four gold gates for every day on which any trade was delivered."""
     days = fixtures.bronze_trades(spark, sf).select(F.col("_trade_date").alias("day")).distinct()
+    days = _table(spark, days, "days")
     trades, events = _table(spark, _trades(spark, sf), "silver-trades"), _events_table(spark, sf)
     _, small = _windows(events)
     gates = [
@@ -343,7 +349,7 @@ def ohlcv_1m(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def vwap_daily(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded_mean(bars.vwap_daily(_trades(spark, sf)), "vwap")
+    return bars.vwap_daily(_trades(spark, sf))
 
 
 @_query
@@ -353,8 +359,7 @@ def spread_bps(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def spread_1m(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _rounded(bars.bid_ask_spread_1m(_quotes(spark, sf)), median_spread=6)
-    return _rounded_mean(rows, "mid_price")
+    return _rounded(bars.bid_ask_spread_1m(_quotes(spark, sf)), median_spread=6)
 
 
 @_query

@@ -89,10 +89,13 @@ def ohlcv_1m(trades: DataFrame) -> DataFrame:
 
 
 def vwap_daily(trades: DataFrame) -> DataFrame:
-    """Volume-weighted price per day; NULL where the day's volume is zero."""
-    price = F.col("price").cast("double")
+    """Volume-weighted price per day; NULL where the day's volume is zero.
+
+    Decimals are summed exactly and divided once, so the result does not depend on the order of trades.
+    """
+    traded = F.sum(F.col("price") * F.col("size")).cast("double")
     return trades.groupBy("trade_date", "exchange", "symbol").agg(
-        F.try_divide(F.sum(price * F.col("size")), F.sum("size")).alias("vwap"),
+        F.try_divide(traded, F.sum("size").cast("double")).alias("vwap"),
         F.sum("size").cast("long").alias("volume"),
         F.count("*").alias("n_trades"),
     )
@@ -111,9 +114,20 @@ def quote_spreads(quotes: DataFrame) -> DataFrame:
 
 
 def bid_ask_spread_1m(quotes: DataFrame) -> DataFrame:
-    """Median spread (lower middle of an even count), mean mid price and ticks per minute."""
-    return quote_spreads(quotes).groupBy(*BAR_KEY).agg(
+    """Median spread (lower middle of an even count), mean mid price and ticks per minute.
+
+    The mean is that of exact sums of bid and ask, whatever the order of quotes.
+    """
+    bid, ask = F.col("bid").cast("double"), F.col("ask").cast("double")
+    ticks = quotes.select(
+        minute("exchange_ts").alias("bar_start"),
+        "exchange",
+        "symbol",
+        spread_bps(bid, ask).alias("spread_bps"),
+        (F.col("bid") + F.col("ask")).alias("both_sides"),
+    )
+    return ticks.groupBy(*BAR_KEY).agg(
         F.percentile_approx("spread_bps", 0.5).alias("median_spread"),
-        F.avg("mid_price").alias("mid_price"),
+        F.try_divide(F.sum("both_sides").cast("double"), F.count("both_sides") * 2).alias("mid_price"),
         F.count("*").alias("n_ticks"),
     )

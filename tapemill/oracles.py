@@ -63,17 +63,17 @@ FROM (SELECT date_trunc('minute', exchange_ts) AS bar_start, exchange, symbol,
              max(price) AS high, min(price) AS low, CAST(sum(size) AS BIGINT) AS volume, count(*) AS n_trades
       FROM o_trades GROUP BY ALL) x""",
     "o_vwap": """
-SELECT trade_date, exchange, symbol, round(sum(CAST(price AS DOUBLE) * size) / sum(size) + 0.0000123456789, 4) AS vwap,
+SELECT trade_date, exchange, symbol, CAST(sum(price * CAST(size AS DECIMAL(18,0))) AS DOUBLE) / CAST(sum(size) AS DOUBLE) AS vwap,
        CAST(sum(size) AS BIGINT) AS volume, count(*) AS n_trades
 FROM o_trades GROUP BY ALL""",
     "o_spreads": """
 SELECT date_trunc('minute', exchange_ts) AS bar_start, exchange, symbol,
        (CAST(ask AS DOUBLE) - CAST(bid AS DOUBLE)) / ((CAST(ask AS DOUBLE) + CAST(bid AS DOUBLE)) / 2) * 10000 AS spread_bps,
-       (CAST(ask AS DOUBLE) + CAST(bid AS DOUBLE)) / 2 AS mid_price
+       (CAST(ask AS DOUBLE) + CAST(bid AS DOUBLE)) / 2 AS mid_price, bid + ask AS both_sides
 FROM o_quotes""",
     "o_spread_bars": """
 SELECT bar_start, exchange, symbol, round(quantile_disc(spread_bps, 0.5), 6) AS median_spread,
-       round(avg(mid_price) + 0.0000123456789, 4) AS mid_price, count(*) AS n_ticks
+       CAST(sum(both_sides) AS DOUBLE) / (2 * count(both_sides)) AS mid_price, count(*) AS n_ticks
 FROM o_spreads GROUP BY ALL""",
     "o_pairs": """
 SELECT t.symbol, t.exchange, t.exchange_ts, t.sequence_num, t.price, t.size, e.event_id, e.event_type,
@@ -238,7 +238,7 @@ FROM (SELECT *, CAST(exchange_ts AS DATE) AS trade_date FROM o_typed_trades) t {
     "silver_trades": f"SELECT {_TRADE} FROM o_all_trades t {_ENRICHED}",
     "silver_quotes": f"SELECT {_QUOTE} FROM o_quotes",
     "silver_events": "SELECT * FROM o_events",
-    "wap_trades": f"SELECT {_TRADE} FROM o_trades t {_ENRICHED}",
+    "wap_trades": f"SELECT {_TRADE}, t.exchange_ts IS NOT NULL AS published FROM o_all_trades t {_ENRICHED}",
     "wap_quotes": f"SELECT {_QUOTE} FROM o_quotes",
     "required_fields": """
 SELECT count(*) AS n_rows,
