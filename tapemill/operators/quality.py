@@ -91,26 +91,28 @@ def _result(suite: str, rule: Rule, met: Column, total: Column) -> Column:
 def run_checks(df: DataFrame, suite: str, rules: Sequence[Rule] | None = None) -> DataFrame:
     """One row per rule: suite, rule, metric, min_ratio, status.
 
-    All row rules share one aggregate without a shuffle of rows. Each uniqueness rule is a count
-    per key, combined on the map side, so a hot key costs one partial row per task.
-    An empty input gives NULL metrics, hence failures.
+    The first uniqueness rule is a count per key, combined on the map side, so a hot key costs one partial row
+    per task; all row rules are counted along with it, in the same pass over the input. Further uniqueness
+    rules take a pass each. An empty input gives NULL metrics, hence failures.
     """
     rules = SUITES[suite] if rules is None else rules
     row_rules = [r for r in rules if not r.unique_on]
-    parts = []
-    if row_rules:
-        sums = [F.count_if(F.expr(r.predicate)).alias(f"met_{i}") for i, r in enumerate(row_rules)]
-        counted = df.agg(F.count("*").alias("total"), *sums)
-        results = [_result(suite, r, F.col(f"met_{i}"), F.col("total")) for i, r in enumerate(row_rules)]
-        parts.append(counted.select(F.explode(F.array(*results)).alias("r")).select("r.*"))
-    for rule in rules:
-        if rule.unique_on:
-            per_key = df.groupBy(*rule.unique_on).agg(F.count("*").alias("n"))
-            alone = per_key.agg(F.count_if(F.col("n") == 1).alias("met"), F.sum("n").alias("total"))
-            parts.append(alone.select(_result(suite, rule, F.col("met"), F.col("total")).alias("r")).select("r.*"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    unique_rules = [r for r in rules if r.unique_on]
+    count = F.count("*").alias("total")
+    met = [F.count_if(F.expr(r.predicate)).alias(f"met_{i}") for i, r in enumerate(row_rules)]
+    if unique_rules:
+        per_key = df.groupBy(*unique_rules[0].unique_on).agg(count, *met)
+        names = ["total", *(f"met_{i}" for i in range(len(row_rules)))]
+        counted = per_key.agg(F.count_if(F.col("total") == 1).alias("alone"), *[F.sum(n).alias(n) for n in names])
+    else:
+        counted = df.agg(count, *met)
+    results = [_result(suite, r, F.col(f"met_{i}"), F.col("total")) for i, r in enumerate(row_rules)]
+    results += [_result(suite, r, F.col("alone"), F.col("total")) for r in unique_rules[:1]]
+    out = counted.select(F.explode(F.array(*results)).alias("r")).select("r.*")
+    for rule in unique_rules[1:]:
+        per_key = df.groupBy(*rule.unique_on).agg(count)
+        alone = per_key.agg(F.count_if(F.col("total") == 1).alias("alone"), F.sum("total").alias("total"))
+        out = out.unionByName(alone.select(_result(suite, rule, F.col("alone"), F.col("total")).alias("r")).select("r.*"))
     return out
 
 
