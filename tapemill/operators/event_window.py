@@ -17,6 +17,10 @@ from tapemill.operators.joins import BROADCAST_ROWS, TICK_COLUMNS, sized
 # A window of two hours touches at most 121 minutes and adds three cuts.
 _SEGMENTS_PER_WINDOW = 124
 
+# Above every offset, in microseconds, within a segment, and above every sequence number of either sign.
+_SEQUENCE_SHIFT = "1" + "0" * 19
+_OFFSET_UNIT = "1" + "0" * 20
+
 
 def calendar_events(silver_events: DataFrame) -> DataFrame:
     """Events that have a start, under the names the windows use."""
@@ -57,22 +61,40 @@ def window_segments(windows: DataFrame) -> DataFrame:
     return points.withColumn("seg_end", F.coalesce(following, F.col("bar_start") + F.expr("INTERVAL 1 MINUTE")))
 
 
+def _whole(digits: str) -> Column:
+    return F.lit(digits).cast(f"decimal({len(digits)},0)")
+
+
+def _latest() -> Column:
+    """(instant within the segment, sequence number) as one number: its maximum is a hash aggregate, a struct's sorts."""
+    offset = (F.unix_micros("exchange_ts") - F.unix_micros("seg_start")).cast("decimal(8,0)")
+    sequence = F.coalesce(F.col("sequence_num").cast("decimal(19,0)") + _whole(_SEQUENCE_SHIFT), F.lit(0).cast("decimal(21,0)"))
+    return offset * _whole(_OFFSET_UNIT) + sequence
+
+
 def segment_bars(trades: DataFrame, segments: DataFrame, small: bool) -> DataFrame:
     """Size and last price of each segment, pooled over exchanges.
 
-    Ties for last go to the highest sequence number, then exchange, then price.
+    Trades are unique by exchange, symbol, instant and sequence number. Ties for last go to the highest
+    sequence number, then exchange. Trades are summed per exchange first, then the few rows of a segment.
     """
     within = (F.col("exchange_ts") >= F.col("seg_start")) & (F.col("exchange_ts") < F.col("seg_end"))
     ticks = trades.select(*TICK_COLUMNS, minute("exchange_ts").alias("bar_start"))
-    return (
+    per_exchange = (
         ticks.join(sized(segments, small), ["bar_start", "symbol"])
         .where(within)
-        .groupBy("seg_start", "bar_start", "symbol")
+        .withColumn("latest", _latest())
+        .groupBy("seg_start", "bar_start", "symbol", "exchange")
         .agg(
             F.sum("size").alias("size"),
-            F.max(F.struct("exchange_ts", "sequence_num", "exchange", "price"))["price"].alias("last_price"),
+            F.max("latest").alias("latest"),
+            F.max_by("price", "latest").alias("price"),
         )
     )
+    return per_exchange.groupBy("seg_start", "bar_start", "symbol").agg(
+        F.sum("size").alias("size"),
+        F.max(F.struct("latest", "exchange", "price"))["price"].alias("last_price"),
+    )
 
 
 def window_minutes(windows: DataFrame, bars: DataFrame, small: bool) -> DataFrame:
