@@ -2,8 +2,8 @@
 
 Each text runs unchanged in Spark (UTC session) and in any ANSI engine with the same functions,
 once `{lineitem}` or `{orders}` names the table. Prices come from integer cents, so that engines
-agree on every digit. 5,000 orders make one trading day, so days grow with the data, up to
-2,500 days; beyond that days get denser.
+agree on every digit. 5,000 orders make one trading day of a calendar of 2,500 days, which starts
+over as often as the orders need; an event's id ends with the round, so events grow with orders.
 """
 
 from __future__ import annotations
@@ -81,8 +81,8 @@ SELECT exchange, symbol, replace(CAST(ts AS VARCHAR(30)), ' ', 'T') AS exchange_
        CAST(ts AS DATE) AS _quote_date
 FROM ticks"""
 
-# Every order is one delivery of the event of its day, symbol and type; later deliveries move its
-# start. Seven of the twenty symbols have no events. One customer in 97 sends no event id.
+# Every order is one delivery of the event of its day, symbol, type and round of the calendar; later
+# deliveries move its start. Seven of the twenty symbols have no events. One customer in 97 sends no event id.
 BRONZE_EVENTS = f"""
 WITH deliveries AS (
   SELECT o_orderkey, CASE WHEN o_custkey % 97 = 5 THEN 1 ELSE 0 END AS nameless,
@@ -92,7 +92,8 @@ WITH deliveries AS (
            + ({_day('o_orderkey')} * 1440 + (o_orderkey * 37) % 271) * INTERVAL '1' MINUTE AS starts
   FROM {{orders}})
 SELECT CASE WHEN nameless = 1 THEN NULL ELSE
-         'EVT-' || CAST(CAST(starts AS DATE) AS VARCHAR(10)) || '-' || symbol || '-' || event_type END AS event_id,
+         'EVT-' || CAST(CAST(starts AS DATE) AS VARCHAR(10)) || '-' || symbol || '-' || event_type
+           || '-' || CAST(CAST(floor(o_orderkey / 12500000) AS BIGINT) AS VARCHAR(20)) END AS event_id,
        symbol, event_type, CAST(CAST(starts AS DATE) AS VARCHAR(10)) AS event_date,
        replace(CAST(starts AS VARCHAR(30)), ' ', 'T') AS event_start,
        replace(CAST(starts + (15 + o_orderkey % 46) * INTERVAL '1' MINUTE AS VARCHAR(30)), ' ', 'T') AS event_end,
