@@ -49,6 +49,7 @@ def unique(cols: Sequence[str], min_ratio: float = 1.0) -> Rule:
 
 _TICK_KEY = ("exchange", "symbol", "exchange_ts", "sequence_num")
 
+# The rules of each suite and the shares they ask for.
 SUITES: dict[str, tuple[Rule, ...]] = {
     "silver_trades_quality": (
         *(complete(c) for c in _TICK_KEY),
