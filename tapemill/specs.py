@@ -28,6 +28,7 @@ def _schema(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
+# Columns of the feeds.
 RAW_TRADES = _schema(
     "exchange string, symbol string, exchange_ts string, price double, size bigint, "
     "sequence_num bigint, side string, trade_id string"
@@ -79,6 +80,7 @@ _KEY_DAYS = {"silver.trades": ("trade_date",), "silver.quotes": ("quote_date",)}
 _TICK_KEY = ("exchange", "symbol", "exchange_ts", "sequence_num")
 _BAR_KEY = ("bar_start", "exchange", "symbol")
 
+# Names, columns, keys and partitions of the tables.
 TABLES: dict[str, TableSpec] = {
     spec.name: spec
     for spec in (
