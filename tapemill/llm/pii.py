@@ -138,7 +138,7 @@ def normalise(text: str) -> tuple[str, list[int], list[int]] | None:
 def all_spans(text: str | None) -> tuple[list[Span], list[Span]]:
     """Base spans, and all spans with those found in disguise; both by kind as listed, then start.
 
-    NULL is the empty text. A find in disguise that overlaps a base span of its kind is left out.
+    NULL is the empty text. A find in disguise may overlap base spans, which often are the undisguised part of it.
     """
     text = text or ""
     base = base_spans(text)
@@ -149,12 +149,24 @@ def all_spans(text: str | None) -> tuple[list[Span], list[Span]]:
     added = []
     for kind, start, end in base_spans(plain):
         source = starts[start], ends[end - 1]
-        disguised = text[source[0] : source[1]] != plain[start:end]
-        if disguised and not any(k == kind and s < source[1] and source[0] < e for k, s, e in base):
+        if text[source[0] : source[1]] != plain[start:end]:
             added.append((kind, *source))
     return base, sorted(set(base + added), key=lambda s: (KINDS.index(s[0]), s[1:]))
 
 
+def merged(spans: list[Span]) -> list[Span]:
+    """Spans without overlaps, by start; overlapping ones become one of the kind of the longest."""
+    out: list[tuple[int, Span]] = []
+    for kind, start, end in sorted(spans, key=lambda s: (s[1], -s[2])):
+        if out and start < out[-1][1][2]:
+            longest, (kind0, start0, end0) = out.pop()
+            kind = kind if end - start > longest else kind0
+            out.append((max(longest, end - start), (kind, start0, max(end, end0))))
+        else:
+            out.append((end - start, (kind, start, end)))
+    return [span for _, span in out]
+
+
 def _joined(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
@@ -181,7 +193,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
 
 def masked(docs: DataFrame) -> DataFrame:
-    """The documents with every span replaced by its kind in brackets; other columns as they came."""
+    """The documents with every span replaced by its kind in brackets, overlapping ones by one; other columns as they came."""
     bound_batches(docs.sparkSession)
 
     @F.pandas_udf("string")
@@ -189,10 +201,8 @@ def masked(docs: DataFrame) -> DataFrame:
         for batch in texts:
             out = []
             for text in batch:
-                end = len(text or "")
-                for kind, s, e in sorted(all_spans(text)[1], key=lambda x: -x[1]):
-                    if e <= end:
-                        text, end = f"{text[:s]}[{kind}]{text[e:]}", s
+                for kind, s, e in reversed(merged(all_spans(text)[1])):
+                    text = f"{text[:s]}[{kind}]{text[e:]}"
                 out.append(text)
             yield pd.Series(out, dtype=object)
 

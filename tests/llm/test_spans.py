@@ -68,6 +68,29 @@ def test_disguises_map_back_to_the_source(text, kind, source):
     assert (kind, text.index(source), text.index(source) + len(source)) in spans and set(base) <= set(spans)
 
 
+LOOKALIKES = str.maketrans({"a": "а", "c": "с", "e": "е", "o": "о", "p": "р", "j": "ј"} | {c: chr(ord(c) + 0xFEE0) for c in "0123456789+@.() -" if c != " "})
+
+
+@pytest.mark.parametrize(
+    "kind, plain", [("email", "jane.poe@example.com"), ("ip", "192.168.1.10"), ("card", "4111 1111 1111 1111"), ("phone", "+1 (555) 123-4567")]
+)
+def test_a_lone_homoglyph_at_each_place(kind, plain):
+    places = [k for k, c in enumerate(plain) if c.translate(LOOKALIKES) != c]
+    assert len(places) > 8
+    for k in places:
+        source = plain[:k] + plain[k].translate(LOOKALIKES) + plain[k + 1 :]
+        base, spans = pii.all_spans(f"x {source} y")
+        assert (kind, 2, 2 + len(source)) in spans and set(base) <= set(spans), source
+
+
+def test_masking_leaves_no_rest_of_overlapping_spans(documents):
+    docs = documents((1, "to jаne@example.com, jane@example.cоm"), (2, "at 192.168.1.1０ up"), (3, "+4111 1111 1111 1111"))
+    masked = {r["doc_id"]: r["text"] for r in pii.masked(docs).collect()}
+    assert masked[1] == "to [email], [email]"
+    assert masked[2] == "at [ip] up" and masked[3] == "+[card]"
+    assert pii.merged([("card", 3, 9), ("phone", 0, 5), ("ip", 9, 12)]) == [("card", 0, 9), ("ip", 9, 12)]
+
+
 def test_plain_words_are_no_disguise():
     for text in ("we met at noon dot matrix", "one two three", "look at me", "Привет мир", "at dot at dot"):
         assert pii.all_spans(text) == ([], [])
