@@ -1,7 +1,7 @@
 """Personal data, also in disguise, with offsets into the source text.
 
 Base patterns are found in the text as it is. Then small transducers rewrite it: homoglyphs to ASCII, spelled
-digits to digits, bracketed or spelled at and dot to their signs. They keep, for every character written, the
+digits to digits, bracketed or spoken at and dot to their signs. They keep, for every character written, the
 source characters it stands for, so what is found in the rewritten text maps back to source spans. Only finds
 that contain a rewritten character are added; what is found without rewriting stays as it is.
 """
@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapemill.llm.common import bound_batches
+from tapemill.llm.top_level import TOP_LEVEL
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -50,9 +52,16 @@ _DIGIT_WORD = rf"(?:{'|'.join(SPELLED)})"
 _DIGIT_RUN = re.compile(rf"(?i)(?<![A-Za-z])(?=\+?(?:[0-9][ -]){{0,3}}{_DIGIT_WORD}\b)\+?(?:{_DIGIT_WORD}|[0-9]+)(?:[ -](?:{_DIGIT_WORD}|[0-9]+))++(?![A-Za-z])")
 _TOKEN = re.compile(rf"(?i){_DIGIT_WORD}|[0-9]+|[ +-]")
 _BRACKETED = re.compile(r"(?i) ?[\[({<] ?(at|dot|@|\.) ?[\])}>] ?")
-# Words are only taken for signs where a top-level domain follows.
-_TOP = r"(?:[A-Za-z0-9-]+ dot )*(?:com|org|net|edu|gov|info|[A-Za-z]{2})\b"
-_SPOKEN = re.compile(rf"(?i)(?<=[A-Za-z0-9]) at (?=[A-Za-z0-9-]+ dot {_TOP})|(?<=[A-Za-z0-9]) dot (?={_TOP})")
+# A dotted quad whose dots may be spoken and whose parts may be spelled; words are joined within a part only.
+_DIGIT = rf"(?:{_DIGIT_WORD}(?![A-Za-z])|[0-9](?![0-9]))"
+_PART = rf"(?:{_DIGIT}(?:[ -]{_DIGIT})*+|[0-9]++)"
+_QUAD = re.compile(rf"(?i)(?<![A-Za-z0-9]){_PART}(?:(?: dot |\.){_PART})*+")
+_QUAD_DOT = re.compile(rf"(?i)(?: dot |\.)(?={_DIGIT_WORD}|[0-9])")
+_PART_OR_DOT = re.compile(rf"(?i) dot |\.|{_DIGIT_WORD}|[0-9]+")
+# Words are only taken for signs of an address where its domain ends in a top-level domain.
+_AT = re.compile(r"(?i)(?<=[A-Za-z0-9._%+-]) at (?=[A-Za-z0-9-])|@(?=[A-Za-z0-9-])")
+_LABEL = re.compile(r"[A-Za-z0-9-]++")
+_DOT = re.compile(r"(?i) dot (?=[A-Za-z0-9-])|\.(?=[A-Za-z0-9-])")
 
 
 def _luhn(digits: str) -> bool:
@@ -104,6 +113,84 @@ def _rewrite(text: str, starts: list[int], ends: list[int], edits: list[tuple[in
     return "".join(out) + text[at:], s + starts[at:], e + ends[at:]
 
 
+def _quads(plain: str, rewritten: Callable[[int], bool]) -> list[tuple[int, int, str]]:
+    """Edits that make dotted quads of runs of digits, spelled digits, dots and spoken dots."""
+    if sum(1 for _ in islice(_QUAD_DOT.finditer(plain), 3)) < 3:
+        return []
+    edits: list[tuple[int, int, str]] = []
+    for m in _QUAD.finditer(plain):
+        parts, dots = [[]], []
+        for t in _PART_OR_DOT.finditer(plain, m.start(), m.end()):
+            if t[0] == "." or t[0].lower() == " dot ":
+                dots.append((t.start(), t.end(), "."))
+                parts.append([])
+            else:
+                parts[-1].append((t.start(), t.end(), SPELLED.get(t[0].lower(), t[0])))
+        number = lambda part: int("".join(d for _, _, d in part)[-9:])
+        k = 0
+        while k + 4 <= len(parts):
+            first, *inner, last = parts[k : k + 4]
+            # Digits before and after a quad do not belong to it.
+            while number(first) > 255 and len(first) > 1:
+                first = first[1:]
+            while number(last) > 255 and len(last) > 1:
+                last = last[:-1]
+            quad = [first, *inner, last]
+            signs = dots[k : k + 3]
+            words = any(e - s > len(d) for part in quad for s, e, d in part)
+            if not (words or any(e - s > 1 or rewritten(s) for s, e, _ in signs)) or any(number(part) > 255 for part in quad):
+                k += 1
+                continue
+            for part in quad:
+                edits += [edit for edit in part if plain[edit[0] : edit[1]] != edit[2]]
+                edits += [(a[1], b[0], "") for a, b in zip(part, part[1:])]
+            edits += [sign for sign in signs if plain[sign[0] : sign[1]] != "."]
+            k += 4
+    return sorted(edits)
+
+
+def _addresses(plain: str, rewritten: Callable[[int], bool]) -> list[tuple[int, int, str]]:
+    """Edits that make addresses of labels with spoken at and dot. Spoken at needs a dot in disguise in the domain."""
+    edits: dict[int, tuple[int, int, str]] = {}
+    for m in _AT.finditer(plain):
+        at, dots, end = m.end(), [], 0
+        label = _LABEL.match(plain, at)
+        while label:
+            top = label[0].lower()
+            name = top if top.startswith("xn--") else top.split("-")[0]
+            if dots and (name in TOP_LEVEL or name.startswith("xn--") or len(name) == 2 and name.isalpha()):
+                end = len(dots)
+            dot = _DOT.match(plain, label.end())
+            if dot:
+                dots.append((dot.start(), dot.end(), "."))
+            label = _LABEL.match(plain, dot.end()) if dot else None
+        domain = [d for d in dots[:end] if d[1] - d[0] > 1]
+        if m[0] != "@" and not domain and not any(rewritten(d[0]) for d in dots[:end]):
+            continue
+        if m[0] == "@" and not dots:
+            continue
+        local, start = [], m.start()
+        while True:
+            token = start
+            while start and plain[start - 1] in _LOCAL:
+                start -= 1
+            if not any(c.isalnum() for c in plain[start:token]):
+                break
+            local.append((start, token))
+            if plain[max(0, start - 5) : start].lower() != " dot ":
+                break
+            start -= 5
+        if not local:
+            continue
+        between = [(b[1], a[0], ".") for a, b in zip(local, local[1:])]
+        sign = [] if m[0] == "@" else [(m.start(), m.end(), "@")]
+        # Without a top-level domain behind a spoken dot, the part before it has to be a domain.
+        if m[0] == "@" and not end and plain[dots[0][0]] != ".":
+            continue
+        edits |= {edit[0]: edit for edit in [*between, *sign, *domain]}
+    return sorted(edits.values())
+
+
 def normalise(text: str) -> tuple[str, list[int], list[int]] | None:
     """The rewritten text with source start and end of each of its characters; None if nothing changes."""
     plain = "".join(HOMOGLYPHS.get(c, c) for c in text) if _LOOKALIKE.search(text) else text
@@ -116,20 +203,27 @@ def normalise(text: str) -> tuple[str, list[int], list[int]] | None:
             plain, starts, ends = _rewrite(plain, starts, ends, edits)
             state = starts, ends
 
-    runs = []
-    for m in _DIGIT_RUN.finditer(plain):
-        tokens = [t for t in _TOKEN.finditer(plain, m.start(), m.end())]
-        kinds = [t for t in tokens if t[0] not in (" ", "-", "+")]
-        if sum(len(t[0]) if t[0].isdigit() else 1 for t in kinds) >= LEAST_SPELLED:
-            for t in tokens:
-                if t[0].lower() in SPELLED:
-                    runs.append((t.start(), t.end(), SPELLED[t[0].lower()]))
-                elif t[0] in (" ", "-"):
-                    runs.append((t.start(), t.end(), ""))
-    step(runs)
+    def rewritten(k: int) -> bool:
+        return state is not None and state[1][k] - state[0][k] > 1
+
     sign = lambda m: "@" if "at" in m[0].lower() or "@" in m[0] else "."
     step([(m.start(), m.end(), sign(m)) for m in _BRACKETED.finditer(plain)])
-    step([(m.start(), m.end(), sign(m)) for m in _SPOKEN.finditer(plain)])
+    step(_quads(plain, rewritten))
+    # Spelled digits next to an IP are no part of it.
+    ips = [(s, e) for kind, s, e in base_spans(plain) if kind == "ip"] if _DIGIT_RUN.search(plain) else []
+    runs = []
+    for start, end in zip([0, *[e for _, e in ips]], [*[s for s, _ in ips], len(plain)]):
+        for m in _DIGIT_RUN.finditer(plain, start, end):
+            tokens = [t for t in _TOKEN.finditer(plain, m.start(), m.end())]
+            kinds = [t for t in tokens if t[0] not in (" ", "-", "+")]
+            if sum(len(t[0]) if t[0].isdigit() else 1 for t in kinds) >= LEAST_SPELLED:
+                for t in tokens:
+                    if t[0].lower() in SPELLED:
+                        runs.append((t.start(), t.end(), SPELLED[t[0].lower()]))
+                    elif t[0] in (" ", "-"):
+                        runs.append((t.start(), t.end(), ""))
+    step(runs)
+    step(_addresses(plain, rewritten))
     if state is None:
         return None if plain == text else (plain, list(range(len(text))), list(range(1, len(text) + 1)))
     return plain, *state

@@ -68,6 +68,38 @@ def test_disguises_map_back_to_the_source(text, kind, source):
     assert (kind, text.index(source), text.index(source) + len(source)) in spans and set(base) <= set(spans)
 
 
+@pytest.mark.parametrize(
+    "text, kind, source",
+    [
+        *[(f"ask jane at example dot {top} today", "email", f"jane at example dot {top}") for top in ("tech", "app", "dev", "biz", "online", "de")],
+        ("ask jane at mail.example dot com today", "email", "jane at mail.example dot com"),
+        ("ask jane at mail dot example dot co dot uk dot thanks", "email", "jane at mail dot example dot co dot uk"),
+        ("ask john dot q dot smith at example dot com", "email", "john dot q dot smith at example dot com"),
+        ("ask john dot smith@example.com now", "email", "john dot smith@example.com"),
+        ("ask jane at example [dot] org now", "email", "jane at example [dot] org"),
+        ("ask jane@example dot info now", "email", "jane@example dot info"),
+        ("host 10 dot 0 dot 0 dot 7 up", "ip", "10 dot 0 dot 0 dot 7"),
+        ("host one nine two dot one six eight dot zero dot one up", "ip", "one nine two dot one six eight dot zero dot one"),
+        ("five one-nine-two.one-six-eight.zero.one two three four", "ip", "one-nine-two.one-six-eight.zero.one two three"),
+        ("host 1 9 2[dot]1 6 8[dot]0[dot]1 up", "ip", "1 9 2[dot]1 6 8[dot]0[dot]1"),
+        ("10 dot 0 dot 0 dot 17 five five five one two three four", "ip", "10 dot 0 dot 0 dot 17"),
+    ],
+)
+def test_spoken_signs(text, kind, source):
+    base, spans = pii.all_spans(text)
+    assert (kind, text.index(source), text.index(source) + len(source)) in spans and set(base) <= set(spans)
+
+
+def test_spoken_words_that_make_no_pattern():
+    for text in ("we work at example.com", "300 dot 1 dot 2 dot 3", "one dot two dot three", "at noon dot matrix.", "table 1 2.5.6"):
+        assert pii.all_spans(text) == ([], []), text
+
+
+def test_spoken_runs_take_linear_time():
+    for text in ("one " * 60_000, "one dot " * 60_000, "a dot " * 60_000, "a at b dot " * 60_000, "1.1 dot " * 60_000, "a at b dot com " * 30_000):
+        pii.all_spans(text)
+
+
 LOOKALIKES = str.maketrans({"a": "а", "c": "с", "e": "е", "o": "о", "p": "р", "j": "ј"} | {c: chr(ord(c) + 0xFEE0) for c in "0123456789+@.() -" if c != " "})
 
 
