@@ -22,6 +22,8 @@ from tapemill.llm.common import WORD_BYTES, bound_batches, stored
 WINDOW = 13
 # A window's rarest terms that have to agree on a start before the others are looked up.
 ANCHORS = 3
+# An index finds terms up to so many words off their places, where nothing else is asked for.
+SLACK = 2
 # Test items go in blocks of about this many words, so that a block's vocabulary fits in every task.
 BLOCK_WORDS = 1_000_000
 
@@ -78,8 +80,8 @@ def _term_counts(words_seen: frozenset[bytes]):
     return count
 
 
-def _postings(ids: dict[bytes, int], anchors: frozenset[int]):
-    """A column function from texts to word count and the postings within reach of an anchor term."""
+def _postings(ids: dict[bytes, int], anchors: frozenset[int], reach: int):
+    """A column function from texts to word count and the postings within `reach` words of an anchor term."""
 
     @F.pandas_udf(_POSTINGS)
     def postings(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -92,8 +94,8 @@ def _postings(ids: dict[bytes, int], anchors: frozenset[int]):
                 found = np.fromiter((ids.get(w, 0) for w in words), np.int32, len(words))
                 near = np.zeros(len(words) + 1, np.int32)
                 at = np.flatnonzero(wanted[found])
-                np.add.at(near, np.maximum(at - WINDOW + 1, 0), 1)
-                np.add.at(near, np.minimum(at + WINDOW, len(words)), -1)
+                np.add.at(near, np.maximum(at - reach, 0), 1)
+                np.add.at(near, np.minimum(at + reach + 1, len(words)), -1)
                 kept = np.flatnonzero((found > 0) & (near.cumsum()[:-1] > 0)) if len(at) else at
                 sizes.append(len(words))
                 terms.append(found[kept])
@@ -115,9 +117,11 @@ class Index:
 
     documents: the input's rows with row, mark and n_words. postings: (term, mark, position).
     anchors: (window, rank, term, at, size) for the rarest terms; places: the same for all terms.
+    slack: how far from their places terms may stand and still be found; 0 is enough for phrases.
     """
 
-    def __init__(self, docs: DataFrame, windows: DataFrame, kept_columns: list[str]):
+    def __init__(self, docs: DataFrame, windows: DataFrame, kept_columns: list[str], slack: int = SLACK):
+        self.slack = slack
         spark = docs.sparkSession
         bound_batches(spark)
         places = windows.select("window", F.size("words").alias("size"), F.posexplode("words").alias("at", "word"))
@@ -135,7 +139,7 @@ class Index:
         self.places = stored(places.withColumn("rank", rank), "places")
         self.anchors = self.places.where(F.col("rank") <= ANCHORS)
         first = {r["term"] for r in self.places.where("rank = 1 AND n > 0").select("term").distinct().collect()}
-        found = _postings(ids, frozenset(first))(F.col("body"))
+        found = _postings(ids, frozenset(first), WINDOW - 1 + 2 * slack)(F.col("body"))
         self.documents = stored(
             docs.select(F.struct(*kept_columns).alias("row"), F.col("text").cast("string").alias("body"))
             .select("row", F.monotonically_increasing_id().alias("mark"), found.alias("found"))
@@ -167,8 +171,20 @@ class Index:
         return met.where(f"count = size - {ANCHORS}").drop("count").unionByName(candidates.where(f"size <= {ANCHORS}"))
 
     def proximity(self, slack: int) -> DataFrame:
-        """(window, mark, start, size) where the window's rarest terms stand within `slack` words of their places."""
-        return self.candidates(slack)
+        """(window, mark, start, size) where every term of the window stands within `slack` words of its place."""
+        if not 0 <= slack <= self.slack:
+            raise ValueError(f"the index was built for a slack of {self.slack}, not {slack}")
+        candidates = stored(self.candidates(slack), "near-candidates")
+        rest = self.places.where(F.col("rank") > ANCHORS).select("window", "at", "term")
+        place = F.col("start") + F.col("at")
+        lookups = candidates.join(rest, "window").select(
+            "window", "mark", "start", "size", "at", "term", F.explode(F.sequence(place - slack, place + slack)).alias("position")
+        )
+        met = lookups.join(self.postings, ["mark", "position", "term"]).groupBy("mark", "window", "size", "start").agg(
+            F.bit_or(F.expr("shiftleft(1, at)")).alias("places")
+        )
+        whole = met.where(f"bit_count(places) = size - {ANCHORS}").select("mark", "window", "size", "start")
+        return whole.unionByName(candidates.where(f"size <= {ANCHORS}"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, kept_columns: list[str] | None = None) -> DataFrame:
@@ -182,7 +198,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, kept_columns: list[str]
     blocks = _blocks(windows)
     kept = kept_columns or ["*"]
     if len(blocks) <= 1:
-        index = Index(docs, blocks[0] if blocks else windows, kept)
+        index = Index(docs, blocks[0] if blocks else windows, kept, slack=0)
         documents, matches = index.documents, index.phrases()
     else:
         # Every block has an index of its own over one stored copy, whose marks they share.
@@ -190,7 +206,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, kept_columns: list[str]
         copy = stored(docs.select(F.struct(*kept).alias("row"), F.monotonically_increasing_id().alias("mark"), text), "texts")
         matches = None
         for block in blocks:
-            index = Index(copy, block, ["mark"] if matches else ["row", "mark"])
+            index = Index(copy, block, ["mark"] if matches else ["row", "mark"], slack=0)
             if matches is None:
                 documents = index.documents.select("row.row", "row.mark", "n_words")
             own = index.documents.select("mark", F.col("row.mark").alias("own"))

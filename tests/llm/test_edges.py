@@ -128,6 +128,28 @@ def test_proximity_is_wider_than_phrases(spark, documents):
     assert {r["doc_id"] for r in found} == {1, 2}
 
 
+def slow_proximity(text, window, slack):
+    words = text.split()
+    near = lambda s, k: window[k] in words[max(0, s + k - slack) : max(0, s + k + slack + 1)]
+    return any(all(near(s, k) for k in range(len(window))) for s in range(-slack, len(words) + slack))
+
+
+@pytest.mark.parametrize("slack", [1, 2, 4])
+def test_proximity_is_that_of_brute_force(spark, documents, slack):
+    window = WORDS[:13]
+    texts = [PROSE, " ".join([window[0], window[6], window[12]]), " ".join(reversed(window))]
+    texts += [" ".join(window[:k] + ["extra"] * n + window[k:]) for k in range(14) for n in (1, 2, 4, 5, 9)]
+    texts += [" ".join(window[:k] + ["x"] + window[k + 1 :]) for k in range(13)]
+    # Terms at both ends are the rarest in one corpus, those in the middle in another.
+    for common in (window[2:11], window[:5] + window[8:], window[:12]):
+        docs = documents(*enumerate([*texts, *[" ".join(["y"] * 40 + common + ["z"] * 40)] * 5]))
+        index = decontamination.Index(docs, decontamination.item_windows(spark.createDataFrame([(1, " ".join(window))], BENCHMARK)), ["doc_id"], slack)
+        found = {r["doc_id"] for r in index.proximity(slack).join(index.documents, "mark").select("row.doc_id").distinct().collect()}
+        assert found == {i for i, t in enumerate(texts) if slow_proximity(t, window, slack)}
+    with pytest.raises(ValueError):
+        index.proximity(slack + 1)
+
+
 def test_sharding(documents):
     docs = documents(*MESSY)
     got = sharding.sharded(docs)
