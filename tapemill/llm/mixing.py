@@ -9,6 +9,7 @@ posteriors, so no rates are moved or collected.
 
 from __future__ import annotations
 
+import logging
 from collections import Counter
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 
 from tapemill.llm.common import WORD_BYTES, bound_batches, labelled_sample, stored
 
+_log = logging.getLogger(__name__)
+
 HASH_BITS = 15
 # The fit takes at most this many labelled rows of at most this many characters, those of lowest hash.
 FIT_ROWS = 3_000
@@ -29,12 +32,16 @@ EPOCHS = 80
 RATE = 0.05
 DECAY = 1e-5
 MAX_STEPS = 30
+# Where rates have a least value: steps in all, and how far the budget may rise above the smallest one.
+MAX_RAISED_STEPS = 90
+MAX_RAISE = 8.0
 TOLERANCE = 1e-5
 MEMORY = 400_000
 
 # Token shares of the domains that the labels make: good text, poor text, good text that is toxic.
 TARGETS = {"clean": 0.88, "poor": 0.09, "toxic": 0.03}
-QUALITY_TARGETS = {"clean": 0.87, "poor": 0.13}
+# The pipeline's: toxic text is gone by then.
+MIX_TARGETS = {name: share for name, share in TARGETS.items() if name != "toxic"}
 
 
 def by_quality_and_toxicity() -> Column:
@@ -46,10 +53,6 @@ def by_quality_and_toxicity() -> Column:
     )
 
 
-def by_quality() -> Column:
-    return F.when(F.col("quality") == 0, "poor").when(F.col("quality") == 1, "clean")
-
-
 class _Buckets(dict):
     """Feature numbers of words, worked out when first met; the first 256 are byte values."""
 
@@ -163,9 +166,11 @@ def fit_rates(rows: DataFrame, targets: list[float], least: float = 0.0, budget:
     """Rates of at least `least` whose expected tokens by domain match `targets` (shares) of `budget` tokens.
 
     The budget is all tokens there are, or if `least` forbids that, the smallest one at which no domain has to
-    shrink. Rates start at one and a step moves a document along its posteriors by inv(G) x residual, G being
+    shrink, raised as long as the fullest domain is over its goal: every copy belongs to it in part. Rates start
+    at one and a step moves a document along its posteriors by inv(G) x residual, G being
     the tokens' second moments of the posteriors: the gradient of the squared residuals in the metric in which
-    a step of one is safe. If no rates match, the fit ends at the least squares within MAX_STEPS steps.
+    a step of one is safe. If no rates match, the fit ends at the least squares within MAX_STEPS steps, those of
+    the smallest budget, and a warning gives the shares that come out.
     """
     k = len(targets)
     share = np.array(targets) / sum(targets)
@@ -178,12 +183,15 @@ def fit_rates(rows: DataFrame, targets: list[float], least: float = 0.0, budget:
         return rate_after([], least)
     gram = np.array([[first[f"g{i}_{j}"] or 0.0 for j in range(k)] for i in range(k)])
     total = budget or (have.sum() if least == 0 else max(least, 1.0) * float((have / share).max()))
+    raises, most = least > 0 and not budget, MAX_RAISE * total
     goal = share * total
     safe = _inverse(gram)
     steps: list[list[float]] = []
     residual, quick = goal - have * max(1.0, least), safe
-    for _ in range(MAX_STEPS):
-        if np.abs(residual).max() <= TOLERANCE * total:
+    unraised: tuple[list[list[float]], np.ndarray] | None = None
+    met = False
+    for _ in range(MAX_RAISED_STEPS if raises else MAX_STEPS):
+        if met := bool(np.abs(residual).max() <= TOLERANCE * total):
             break
         # Rates at the bound no longer move: a step for the others only is longer, and kept if it helps.
         trial = [*steps, (quick @ residual).tolist()]
@@ -194,11 +202,26 @@ def fit_rates(rows: DataFrame, targets: list[float], least: float = 0.0, budget:
             *[F.sum(free * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(k)],
         ).first()
         after = goal - np.array([seen[f"s{i}"] for i in range(k)])
-        if quick is safe or np.linalg.norm(after) < 0.9 * np.linalg.norm(residual):
+        helps = np.linalg.norm(after) < 0.9 * np.linalg.norm(residual)
+        if quick is safe or helps:
             steps, residual = trial, after
             quick = _inverse(np.array([[seen[f"g{i}_{j}"] for j in range(k)] for i in range(k)]))
         else:
             quick = safe
+            continue
+        if raises and not helps:
+            # The fullest domain's excess, and half as much for what further copies bring it.
+            unraised = unraised or (steps, goal - residual)
+            fullest = float(((goal - residual) / share).max())
+            if (total := total + 1.5 * (fullest - total)) > most:
+                break
+            residual = residual + share * total - goal
+            goal = share * total
+    else:
+        met = bool(np.abs(residual).max() <= TOLERANCE * total)
+    if not met:
+        steps, got = unraised or (steps, goal - residual)
+        _log.warning("Target shares %s are not met: the rates give %s.", share.round(4).tolist(), (got / got.sum()).round(4).tolist())
     return rate_after(steps, least)
 
 
@@ -232,5 +255,5 @@ def remixed(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     No rate is below one, so every document stays at least once; domains short of their share are repeated.
     """
-    rows = rated(docs, labels, domain=by_quality(), targets=QUALITY_TARGETS, least=1.0)
+    rows = rated(docs, labels, targets=MIX_TARGETS, least=1.0)
     return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")

@@ -190,6 +190,46 @@ def test_classifiers_on_messy_and_on_no_rows(spark, documents, labels):
     assert mixing.mixture(nothing, labels).count() == 0
 
 
+def outcome(rows):
+    """Shares of tokens by domain (clean, poor) with the fitted rates and with the whole copies, and the least rate."""
+    rows = rows.toPandas()
+    p, tokens = np.stack(rows["posteriors"]), rows["tokens"].to_numpy()
+    by_rate, by_copies = ((p * (tokens * rows[c].to_numpy())[:, None]).sum(axis=0) for c in ("rate", "copies"))
+    return by_rate / by_rate.sum(), by_copies / by_copies.sum(), rows["rate"].min()
+
+
+@pytest.mark.parametrize("poor", [0.05, 0.14, 0.4, 0.7])
+def test_rates_of_at_least_one_meet_the_targets(spark, poor):
+    rng = np.random.default_rng(7)
+    share = np.where(rng.random(4000) < poor, 0.93, 0.04) + rng.uniform(-0.02, 0.02, 4000)
+    data = [(int(t), [1 - float(s), float(s)]) for t, s in zip(rng.integers(5, 900, 4000), share)]
+    rows = spark.createDataFrame(data, "tokens long, posteriors array<double>")
+    targets = [mixing.MIX_TARGETS[n] for n in sorted(mixing.MIX_TARGETS)]
+    got, _, least = outcome(rows.withColumn("rate", mixing.fit_rates(rows, targets, 1.0)).withColumn("copies", mixing.F.col("rate")))
+    assert least >= 1 and np.abs(got - np.array(targets) / sum(targets)).max() < 1e-4
+
+
+def test_targets_out_of_reach_are_reported(spark, caplog):
+    rows = spark.createDataFrame([(10, [0.5, 0.5])] * 4, "tokens long, posteriors array<double>")
+    rate = mixing.fit_rates(rows, [0.9, 0.1], 1.0)
+    assert "not met" in caplog.text and rows.select(rate.alias("r")).agg({"r": "max"}).first()[0] < 6
+
+
+@pytest.mark.parametrize("hot", [1, 5])
+def test_shares_that_the_mixing_stage_gives(spark, hot):
+    """Also if a source of poor text is five times as large."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    poor = docs.join(labels.where("quality = 0"), "doc_id", "left_semi")
+    for k in range(1, hot):
+        docs = docs.union(poor.withColumn("doc_id", poor["doc_id"] + k * 10**9))
+    rows = mixing.rated(docs, labels, ["doc_id"], targets=mixing.MIX_TARGETS, least=1.0)
+    wanted = np.array([mixing.MIX_TARGETS[n] for n in sorted(mixing.MIX_TARGETS)])
+    wanted /= wanted.sum()
+    by_rate, by_copies, least = outcome(rows)
+    assert least >= 1 and np.abs(by_rate - wanted).max() < 1e-4 and np.abs(by_copies - wanted).max() < 0.01
+
+
 def test_misspellings_share_subwords():
     clean = ["the river runs past green hills and quiet farms", "we walked along the shore at noon"] * 20
     toxic = ["you are a worthless moron and everyone knows", "what a pathetic idiot this person is"] * 20
