@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapemill.llm import decontamination, exact_dedup, licenses, mixing, pii, quality, sharding, simhash, suffix_dedup, toxicity
+from tapemill.llm import (
+    alignment, decontamination, exact_dedup, hard_negatives, html_extraction, licenses, mixing, pii, quality, sharding,
+    simhash, suffix_dedup, toxicity,
+)
 from tapemill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,11 +55,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.token_alignment(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.main_texts(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_soft_mixing, op2_simhash, op3_hash_tree, op4_pii, op5_exact_dedup,
         op6_licenses, op7_quality, op8_repeated_passages, op9_decontamination, op10_toxicity,
+        op11_alignment, op12_hard_negatives, op13_main_text,
     )
 }
 
@@ -66,4 +82,25 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op12_hard_negatives": """
+        WITH v AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS units
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+          SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                 CAST(list_dot_product(a.units, c.units) AS BIGINT) AS score
+          FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+        positives AS (
+          SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, p.positive_id,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+               s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+        FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+         AND 100 * s.score BETWEEN 30 * p.positive_score AND 90 * p.positive_score
+        QUALIFY rank <= 10
+    """,
 }

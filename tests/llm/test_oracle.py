@@ -8,7 +8,7 @@ from tapemill.llm import queries
 
 def test_registered_with_the_pipeline():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_exact_dedup_matches_sql(spark):
