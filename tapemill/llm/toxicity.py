@@ -8,6 +8,7 @@ After training a word adds one number to the score, whatever the embedding's wid
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,9 +34,18 @@ LEAST_TEXTS = 3
 PAD = 20
 # The fit takes at most this many labelled rows, of at most this many characters each: those whose hash is
 # lowest. Everything is scored in full; only the fit is on a sample.
-FIT_ROWS = 4_000
+FIT_ROWS = 8_000
 FIT_CHARS = 5_000
 THRESHOLD = 0.7
+# Every so many rows of the sample are not trained on but set the logit that scores THRESHOLD, if there are so many.
+HELD_BACK_EVERY = 8
+LEAST_HELD_BACK = 25
+# That cut leaves at least this share of the clean rows below it.
+LEAST_KEPT = 0.92
+# A text without words counts as clean, with this share of the weight of all rows.
+NO_WORDS = 0.2
+# By how much the logit of such a text stays below the cut.
+MARGIN = 0.05
 # Words a task remembers before it starts over.
 MEMORY = 400_000
 
@@ -86,10 +96,12 @@ class _Words(dict):
         self[word] = value
         return value
 
-    def score(self, text: str | None) -> float:
+    def logit(self, text: str | None) -> float:
         shares, total = shares_of(words_of(text))
-        logit = self.bias + sum(self[w] * share for w, share in shares.items()) / total
-        return float(1.0 / (1.0 + np.exp(-np.clip(logit, -700, 700))))
+        return self.bias + sum(self[w] * share for w, share in shares.items()) / total
+
+    def score(self, text: str | None) -> float:
+        return float(1.0 / (1.0 + np.exp(-np.clip(self.logit(text), -700, 700))))
 
 
 class _Pool:
@@ -115,20 +127,22 @@ class _Pool:
 def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     """Fit embeddings and softmax together by Adam on all given rows at once."""
     vocabulary: dict[bytes, int] = {}
-    words, shares, docs, y = [], [], [], []
+    # Plain arrays: there is an entry for every distinct word of every text.
+    words, shares, counts, y = array("i"), array("f"), array("i"), []
     for text, label in zip(texts, labels):
         bag, total = shares_of(words_of(text))
         if bag:
-            words += [vocabulary.setdefault(w, len(vocabulary)) for w in bag]
-            shares += [share / total for share in bag.values()]
-            docs += [len(y)] * len(bag)
+            words.extend(vocabulary.setdefault(w, len(vocabulary)) for w in bag)
+            shares.extend(share / total for share in bag.values())
+            counts.append(len(bag))
             y.append(label)
     y = np.asarray(y, np.float32)
     rows = len(y)
     if rows == 0 or y.min() == y.max():
         share = (y.sum() + 1.0) / (rows + 2.0) if rows else 0.5
         return Model(np.zeros(1 << HASH_BITS), float(np.log(share / (1 - share))))
-    words, docs = np.array(words, np.int32), np.array(docs, np.int32)
+    words, shares = np.frombuffer(words, np.int32), np.frombuffer(shares, np.float32)
+    docs = np.repeat(np.arange(rows, dtype=np.int32), np.frombuffer(counts, np.int32))
     sizes = np.zeros(len(vocabulary), np.int32)
 
     def all_grams() -> Iterator[int]:
@@ -143,7 +157,9 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     often = (np.bincount(grams, np.bincount(words)[owner], 1 << HASH_BITS) >= LEAST_TEXTS)[grams]
     grams, owner = grams[often], owner[often]
     into_words = _Pool(grams, owner, (1.0 / sizes[owner]).astype(np.float32), 1 << HASH_BITS, len(sizes))
-    into_docs = _Pool(words, docs, np.array(shares, np.float32), len(sizes), rows)
+    # One row more, without words.
+    y = np.append(y, np.float32(0))
+    into_docs = _Pool(words, docs, shares, len(sizes), rows + 1)
 
     rng = np.random.default_rng(seed)
     e = rng.normal(0, 0.02, (WIDTH, 1 << HASH_BITS)).astype(np.float32)
@@ -151,7 +167,8 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     b = np.zeros((2, 1), np.float32)
     target = np.stack([1 - y, y])
     # Both classes weigh the same, however rare one is.
-    weight = (target / target.sum(axis=1, keepdims=True)).sum(axis=0) / 2
+    weight = (target / target[:, :-1].sum(axis=1, keepdims=True)).sum(axis=0) / 2
+    weight[-1] = NO_WORDS
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in (e, u, b)]
     for step in range(1, EPOCHS + 1):
         word = into_words.sum(e)
@@ -171,6 +188,43 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     return Model(weights, float(b[1, 0] - b[0, 0]))
 
 
+def best_cut(logits: np.ndarray, labels: np.ndarray) -> float:
+    """The logit from which on rows count as toxic so that the shares of both classes judged right add up to the most.
+
+    Only cuts that keep LEAST_KEPT of the clean rows are looked at, and of those within a standard error of the best
+    one the lowest is taken: few toxic rows say little about where it lies.
+    """
+    order = np.argsort(logits)
+    logits, toxic = logits[order], labels[order] == 1
+    # Cuts lie between neighbours; below a cut are `kept` clean rows and the toxic ones that it misses.
+    kept = np.cumsum(~toxic) / (~toxic).sum()
+    missed = np.cumsum(toxic) / toxic.sum()
+    able = (np.diff(logits, append=np.inf) > 0) & (kept >= LEAST_KEPT)
+    gain = np.where(able, kept - missed, -1.0)[:-1]
+    caught = 1 - missed[gain.argmax()]
+    error = np.sqrt(max(caught * (1 - caught), 1 / toxic.sum()) / toxic.sum())
+    k = int(np.argmax(gain >= gain.max() - error))
+    return float(logits[k] + logits[k + 1]) / 2
+
+
+def calibrated(texts: list[str], labels: list[int]) -> Model:
+    """A model whose score reaches THRESHOLD where rows it was not trained on are told apart best.
+
+    Classes weigh the same in training, so the probability it ends with is no share of rows; its bias is shifted, which
+    changes no ranking. Too few rows to hold some back, or one class only among them, leave the bias as trained.
+    """
+    back = np.arange(len(texts)) % HELD_BACK_EVERY == HELD_BACK_EVERY - 1
+    held = [(t, y) for t, y, b in zip(texts, labels, back) if b]
+    if len(held) < LEAST_HELD_BACK or len({y for _, y in held}) < 2:
+        return train(texts, labels)
+    model = train([t for t, b in zip(texts, back) if not b], [y for y, b in zip(labels, back) if not b])
+    scorer = model.scorer()
+    cut = best_cut(np.array([scorer.logit(t) for t, _ in held]), np.array([y for _, y in held]))
+    # Whatever the rows say, nothing speaks against a text without words.
+    cut = max(cut, scorer.logit("") + MARGIN)
+    return Model(model.weights, model.bias - cut + float(np.log(THRESHOLD / (1 - THRESHOLD))))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Train on labelled documents that are not held out; a bounded number, chosen by hash of the id.
 
@@ -179,7 +233,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     known = known.where(crc_mod(F.col("doc_id"), 3) != 1)
     sample = labelled_sample(docs, known, "toxic", FIT_ROWS, FIT_CHARS)
-    return train(sample["text"].to_pylist(), sample["toxic"].to_pylist())
+    return calibrated(sample["text"].to_pylist(), sample["toxic"].to_pylist())
 
 
 def score_of(spark: SparkSession, model: Model):
@@ -208,7 +262,7 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def without_toxic(docs: DataFrame, labels: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """The documents that the classifier does not reject, columns as they came.
 
-    The classifier is fitted on the labelled rows among `labelled`, or else among the documents themselves.
+    NULL, empty and wordless texts stay; repeated rows go or stay together. The classifier is fitted on the labelled rows among `labelled`, or else among the documents themselves.
     """
     score = score_of(docs.sparkSession, fit(docs if labelled is None else labelled, labels))
     return docs.where(score(docs["text"].cast("string")) < THRESHOLD)
