@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapemill import fixtures, session
+from tapemill import arrivals, fixtures, session
 from tapemill.functions.parsing import parse_timestamp
 from tapemill.operators import bars, dedup, event_window, joins, quality
 from tapemill.operators.upsert import drop_null_keys, upsert
 from tapemill.plans import bronze, gold, silver
 from tapemill.sources import raw
 from tapemill.specs import RAW_QUOTES, RAW_TRADES, TABLES
-from tapemill.storage.publish import write_audit_publish
+from tapemill.storage.publish import QualityError, write_audit_publish
 from tapemill.storage.table import Table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -249,10 +249,10 @@ def silver_events(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def wap_trades(spark: SparkSession, sf: str) -> DataFrame:
-    """Two published runs: first deliveries only, then everything again on top of them.
+    """Three runs: first deliveries, everything, then readable rows again on top of them.
 
-    Rows whose timestamp cannot be read fail the audit's NOT NULL rule; they are set apart and returned as
-    not published.
+    The second run has rows whose timestamp cannot be read; its audit fails and changes nothing, which `unchanged` says
+    of the published rows. Those rows are returned as not published.
     """
     events = _events_table(spark, sf)
     small = joins.fits_broadcast(events)
@@ -260,12 +260,23 @@ def wap_trades(spark: SparkSession, sf: str) -> DataFrame:
     deliveries = fixtures.bronze_trades(spark, sf)
     readable = parse_timestamp("exchange_ts").isNotNull()
     rows = deliveries.where(readable)
-    for run_id, delivered in (("slot1", rows.where(F.col("trade_id").startswith("T-"))), ("slot2", rows)):
+
+    def publish(delivered: DataFrame, run_id: str) -> None:
         write_audit_publish(table, silver.silver_trades(delivered, events, small), run_id, "silver_trades_quality")
+
+    publish(rows.where(F.col("trade_id").startswith("T-")), "slot1")
+    before, failed = table.pointer(), False
+    try:
+        publish(deliveries, "slot2")
+    except QualityError:
+        failed = True
+    unchanged = failed and table.pointer() == before
+    publish(rows, "slot3")
     rejected = silver.silver_trades(deliveries.where(~readable), events, small)
     return (
         table.read().withColumn("published", F.lit(True))
         .unionByName(rejected.withColumn("published", F.lit(False)))
+        .withColumn("unchanged", F.lit(unchanged))
     )
 
 
@@ -405,3 +416,7 @@ def upsert_gold(spark: SparkSession, sf: str) -> DataFrame:
     corrected = trades.where("exchange <> 'ARCA'").withColumn("price", (F.col("price") + 1).cast("decimal(18,6)"))
     target = bars.ohlcv_1m(trades.where("exchange <> 'NYSE'"))
     return upsert(target, bars.ohlcv_1m(corrected), TABLES["gold.ohlcv_1m"].keys)
+
+
+for _name, _fn in arrivals.QUERIES.items():
+    _query(_fn, _name)

@@ -103,6 +103,30 @@ SELECT CASE WHEN nameless = 1 THEN NULL ELSE
 FROM deliveries"""
 
 
+# Hour of the folder in which corrected trades arrive.
+CORRECTED_HOUR = "20"
+
+# Trades as lines of a feed, by folder. One in 1009 each is cut short, has text for its size, is garbled, has text for
+# its price, or lacks its side; unknown fields come along. `{bronze_trades}` names the trades.
+RAW_TRADE_LINES = """
+WITH whole AS (
+  SELECT *, CAST(_trade_date AS VARCHAR(10)) AS dt,
+         CASE WHEN exchange_ts = 'bad-ts' THEN '09' ELSE substring(exchange_ts, 12, 2) END AS hh,
+         sequence_num % 1009 AS damage,
+         '{{"exchange":"' || exchange || '","symbol":"' || symbol || '","exchange_ts":"' || exchange_ts
+           || '","price":' || CAST(CAST(price AS DECIMAL(18,2)) AS VARCHAR(30)) || ',"size":' || CAST(size AS VARCHAR(20))
+           || ',"sequence_num":' || CAST(sequence_num AS VARCHAR(20)) || ',"side":"' || side
+           || '","trade_id":"' || trade_id || '"}}' AS text
+  FROM {bronze_trades})
+SELECT *, CASE damage WHEN 1 THEN substring(text, 1, length(text) - 20)
+                      WHEN 2 THEN replace(text, '"size":', '"size":"many","was":')
+                      WHEN 3 THEN '%' || text
+                      WHEN 4 THEN replace(text, '"price":', '"price":"n/a","was":')
+                      WHEN 5 THEN replace(text, '"side":', '"flank":')
+                      ELSE text END AS line
+FROM whole"""
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     """A table spread over the cores. Only a file with fewer splits than cores is shuffled for it."""
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -12,14 +12,16 @@ from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapemill import session
 from tapemill.operators import joins, quality
 from tapemill.plans import bronze, silver
 from tapemill.plans.gold import MODES
-from tapemill.sources import raw
-from tapemill.specs import TABLES
-from tapemill.storage import upkeep
+from tapemill.plans.loading import Loaded, load
+from tapemill.sources import checked, raw
+from tapemill.specs import RAW_QUOTES, RAW_TRADES, TABLES
+from tapemill.storage.footers import partition_counts
 from tapemill.storage.publish import QualityError, failed_checks, write_audit_publish
 from tapemill.storage.table import Pointer, Table, on_days
 
@@ -48,6 +50,10 @@ class Lake:
         session.size_shuffles(self.spark, table.bytes_of(chosen))
         return table.read_partitions(chosen)
 
+    def rejects(self, name: str) -> str:
+        """Folder of a table's rejected lines, one folder in it per run that had any."""
+        return f"{self.warehouse.rstrip('/')}/rejected/{name}"
+
 
 def create_tables(lake: Lake) -> list[str]:
     """Define the ten tables; returns the names of those that were new."""
@@ -57,42 +63,46 @@ def create_tables(lake: Lake) -> list[str]:
 # Bronze ------------------------------------------------------------------------------------------
 
 
-def _load(lake: Lake, name: str, rows: DataFrame, run_id: str) -> Pointer | None:
-    """Emptiness is tested before the reduction to one row per key, which would run twice otherwise."""
-    if rows.isEmpty():
-        log.info("%s run %s: nothing to load", name, run_id)
-        return None
-    return write_audit_publish(lake.table(name), bronze.merge_source(rows, name), run_id)
-
-
 def _instant(ingest_ts: datetime | None) -> datetime:
     return ingest_ts or datetime.now(timezone.utc)
 
 
+def _ingest(
+    lake: Lake, name: str, delivery: checked.Delivery, day_column: str, day: date, run_id: str, ingest_ts: datetime | None,
+    required: tuple[str, ...] = (),
+) -> Loaded:
+    return load(
+        lake.table(name),
+        delivery,
+        lambda rows: bronze.with_lineage(rows, day_column, day, _instant(ingest_ts)),
+        lambda rows: bronze.load_source(rows, name),
+        run_id,
+        required,
+        lake.rejects(name),
+    )
+
+
 def ingest_trades(
     lake: Lake, day: date, hours: Iterable[int], run_id: str, ingest_ts: datetime | None = None
-) -> Pointer | None:
+) -> Loaded:
     """Several hours may be named, so that a run can look back for late files."""
-    rows = raw.read_trades(lake.spark, lake.raw_root, day, hours)
-    rows = bronze.with_lineage(rows, "_trade_date", day, _instant(ingest_ts))
-    return _load(lake, "bronze.trades_raw", rows, run_id)
+    delivery = checked.json_lines(lake.spark, RAW_TRADES, raw.hour_paths(lake.raw_root, "trades", day, hours))
+    return _ingest(lake, "bronze.trades_raw", delivery, "_trade_date", day, run_id, ingest_ts)
 
 
 def ingest_quotes(
     lake: Lake, day: date, hours: Iterable[int], run_id: str, ingest_ts: datetime | None = None
-) -> Pointer | None:
-    rows = raw.read_quotes(lake.spark, lake.raw_root, day, hours)
-    rows = bronze.with_lineage(rows, "_quote_date", day, _instant(ingest_ts))
-    return _load(lake, "bronze.quotes_raw", rows, run_id)
+) -> Loaded:
+    delivery = checked.json_lines(lake.spark, RAW_QUOTES, raw.hour_paths(lake.raw_root, "quotes", day, hours))
+    return _ingest(lake, "bronze.quotes_raw", delivery, "_quote_date", day, run_id, ingest_ts)
 
 
-def ingest_events(lake: Lake, day: date, run_id: str, ingest_ts: datetime | None = None) -> Pointer | None:
-    rows = raw.read_events_csv(lake.spark, [raw.events_path(lake.raw_root, day)])
-    rows = bronze.with_lineage(rows, "_event_load_date", day, _instant(ingest_ts))
-    nameless = rows.where(F.col("event_id").isNull()).count()
-    if nameless:
-        log.warning("bronze.events_raw run %s: dropped %d row(s) without event_id", run_id, nameless)
-    return _load(lake, "bronze.events_raw", rows.where(F.col("event_id").isNotNull()), run_id)
+def ingest_events(lake: Lake, day: date, run_id: str, ingest_ts: datetime | None = None) -> Loaded:
+    """Events without an id can never be merged; they are counted and left out."""
+    delivery = checked.events_csv(lake.spark, [raw.events_path(lake.raw_root, day)])
+    return _ingest(
+        lake, "bronze.events_raw", delivery, "_event_load_date", day, run_id, ingest_ts, required=("event_id",)
+    )
 
 
 # Silver ------------------------------------------------------------------------------------------
@@ -168,15 +178,16 @@ def compute_gold(lake: Lake, day: date, mode: str, run_id: str) -> Pointer | Non
 
 
 def check_gold_rows(lake: Lake, day: date, mode: str) -> int:
-    """Row-count gate of a day; returns the count or raises."""
+    """Row-count gate of a day, from the files' footers; returns the count or raises."""
     table = lake.table(_mode(mode).target)
-    rows = lake.day(table.spec.name, day).count()
+    spec = table.spec
+    chosen = table.partitions(on_days(spec.partition_by[0], [day]))
+    rows = 0
+    if chosen:
+        by = ["version", *spec.partition_by]
+        schema = T.StructType([*spec.stored_schema.fields, T.StructField("version", T.StringType())])
+        counts = partition_counts(lake.spark, f"{table.root}/data", table.paths(chosen), by, schema)
+        rows = counts.agg(F.sum("n")).first()[0] or 0
     if rows < GATES[mode]:
-        raise QualityError(f"{table.spec.name}: {rows} row(s) on {day}, expected at least {GATES[mode]}")
+        raise QualityError(f"{spec.name}: {rows} row(s) on {day}, expected at least {GATES[mode]}")
     return rows
-
-
-def maintain_all(lake: Lake, expire_after_days: float = upkeep.EXPIRE_AFTER_DAYS) -> None:
-    upkeep.maintain_all(
-        [lake.table(name) for name in TABLES], lambda table: upkeep.maintain(table, expire_after_days)
-    )

@@ -50,42 +50,48 @@ def _from_decimal(packed: Column) -> Column:
     return F.when(packed.isNotNull(), F.struct(offset.alias("offset"), price.alias("price")))
 
 
-def ohlcv_1m(trades: DataFrame) -> DataFrame:
-    """Minute bars of each exchange and symbol from trades with decimal(18,6) prices.
-
-    At a tied first (last) instant the lowest (highest) price opens (closes) the bar.
-    """
+def bar_states() -> list[Column]:
+    """Aggregates of a bar's trades (bar_start, exchange_ts, price decimal(18,6), size), in a form that merges further."""
     offset = F.coalesce(F.unix_micros("exchange_ts") - F.unix_micros("bar_start"), F.lit(0).cast("long"))
     price = F.col("price")
     fits_long = F.coalesce((price >= 0) & (price < _LONG_PRICE_LIMIT), F.lit(False))
-    ticks = trades.withColumn("bar_start", minute("exchange_ts")).select(
-        *BAR_KEY,
-        "size",
-        price.cast("double").alias("price"),
-        F.when(fits_long, _as_long(offset, price)).alias("_long"),
-        F.when(~fits_long, _as_decimal(offset, price)).alias("_wide"),
-    )
-    bars = ticks.groupBy(*BAR_KEY).agg(
-        F.min("_long").alias("_long_first"),
-        F.max("_long").alias("_long_last"),
-        F.min("_wide").alias("_wide_first"),
-        F.max("_wide").alias("_wide_last"),
-        F.max("price").alias("high"),
-        F.min("price").alias("low"),
+    as_long, as_wide = F.when(fits_long, _as_long(offset, price)), F.when(~fits_long, _as_decimal(offset, price))
+    return [
+        F.min(as_long).alias("_long_first"),
+        F.max(as_long).alias("_long_last"),
+        F.min(as_wide).alias("_wide_first"),
+        F.max(as_wide).alias("_wide_last"),
+        F.max(price.cast("double")).alias("high"),
+        F.min(price.cast("double")).alias("low"),
         F.sum("size").cast("long").alias("volume"),
         F.count("*").alias("n_trades"),
-    )
+    ]
+
+
+def merged_bar_states() -> list[Column]:
+    """Aggregates of states of one bar: again a state."""
+    ways = {
+        "_long_first": F.min, "_long_last": F.max, "_wide_first": F.min, "_wide_last": F.max,
+        "high": F.max, "low": F.min, "volume": F.sum, "n_trades": F.sum,
+    }
+    return [way(name).alias(name) for name, way in ways.items()]
+
+
+def bar_columns() -> list[Column]:
+    """Columns of a bar from its state, without the key."""
     first = F.least(_from_long(F.col("_long_first")), _from_decimal(F.col("_wide_first")))
     last = F.greatest(_from_long(F.col("_long_last")), _from_decimal(F.col("_wide_last")))
-    return bars.select(
-        *BAR_KEY,
-        first["price"].alias("open"),
-        "high",
-        "low",
-        last["price"].alias("close"),
-        "volume",
-        "n_trades",
-    )
+    opened, closed = first["price"].alias("open"), last["price"].alias("close")
+    return [opened, F.col("high"), F.col("low"), closed, F.col("volume"), F.col("n_trades")]
+
+
+def ohlcv_1m(trades: DataFrame) -> DataFrame:
+    """Minute bars of each exchange and symbol from trades with decimal(18,6) prices.
+
+    At a tied first (last) instant the lowest (highest) price opens (closes) the bar.
+    """
+    bars = trades.withColumn("bar_start", minute("exchange_ts")).groupBy(*BAR_KEY).agg(*bar_states())
+    return bars.select(*BAR_KEY, *bar_columns())
 
 
 def vwap_daily(trades: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapemill.functions.keys import all_present, any_missing, numbers_first
+from tapemill.operators.dedup import one_per_key
 
 AMBIGUOUS = "upsert: several source rows match one target row"
 
@@ -34,3 +35,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     # Target rows without a whole key match nothing; in the join they would all meet in one task.
     kept = keyed.select(*target.columns).unionByName(target.where(any_missing(keys)))
     return kept.unionByName(source.select(*target.columns))
+
+
+def latest_of(rows: DataFrame, keys: Sequence[str], stamp: str = "_ingest_ts") -> DataFrame:
+    """The latest delivery of each key, ties by the other columns; rows with a NULL in the key all stay.
+
+    Reducing parts first and then their union gives the same, so deliveries may come in any batches. Where rows
+    without a whole key are repeated they stay repeated.
+    """
+    others = [c for c in rows.columns if c not in keys and c != stamp]
+    return one_per_key(rows, keys, [F.col(stamp).desc(), *others])

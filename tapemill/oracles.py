@@ -18,6 +18,9 @@ _FEEDS = {
 # Views in order of dependence; a query is prefixed with those it mentions, directly or not.
 _VIEWS: dict[str, str] = {
     **{name: text.format(lineitem="lineitem", orders="orders") for name, text in _FEEDS.items()},
+    "o_lines": fixtures.RAW_TRADE_LINES.format(bronze_trades="bronze_trades"),
+    "o_accepted": """
+SELECT * REPLACE (CASE WHEN damage = 5 THEN NULL ELSE side END AS side) FROM o_lines WHERE damage NOT IN (1, 2, 3, 4)""",
     "o_typed_trades": """
 SELECT exchange, symbol, TRY_CAST(exchange_ts AS TIMESTAMP) AS exchange_ts, CAST(price AS DECIMAL(18,6)) AS price,
        size, sequence_num, side, trade_id, _ingest_ts
@@ -55,6 +58,19 @@ WHERE rn = 1""",
 SELECT event_id, symbol, event_type, event_date, event_start FROM (
   SELECT *, row_number() OVER (PARTITION BY symbol, event_date ORDER BY event_start, event_id) AS rn FROM o_events) x
 WHERE rn = 1""",
+    "o_arrivals": """
+SELECT t.*, date_trunc('minute', exchange_ts) + INTERVAL '1' MINUTE AS bar_end,
+       d.slot + CASE WHEN sequence_num % 97 = 0 THEN 1 ELSE 0 END AS arrival
+FROM o_trades t
+JOIN (SELECT trade_date, ntile(4) OVER (ORDER BY trade_date) AS slot FROM (SELECT DISTINCT trade_date FROM o_trades) x) d
+  ON t.trade_date = d.trade_date""",
+    "o_watermarks": """
+SELECT arrival, max(latest) OVER (ORDER BY arrival) - INTERVAL '10' MINUTE AS mark
+FROM (SELECT arrival, max(exchange_ts) AS latest FROM o_arrivals GROUP BY arrival) x""",
+    "o_in_time": """
+SELECT a.*, a.bar_end <= (SELECT max(mark) FROM o_watermarks) AS closed
+FROM o_arrivals a LEFT JOIN (SELECT arrival, lag(mark) OVER (ORDER BY arrival) AS mark FROM o_watermarks) w ON a.arrival = w.arrival
+WHERE w.mark IS NULL OR a.bar_end > w.mark""",
     "o_bars": """
 SELECT bar_start, exchange, symbol, CAST(f.p AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low,
        CAST(l.p AS DOUBLE) AS close, volume, n_trades
@@ -238,7 +254,7 @@ FROM (SELECT *, CAST(exchange_ts AS DATE) AS trade_date FROM o_typed_trades) t {
     "silver_trades": f"SELECT {_TRADE} FROM o_all_trades t {_ENRICHED}",
     "silver_quotes": f"SELECT {_QUOTE} FROM o_quotes",
     "silver_events": "SELECT * FROM o_events",
-    "wap_trades": f"SELECT {_TRADE}, t.exchange_ts IS NOT NULL AS published FROM o_all_trades t {_ENRICHED}",
+    "wap_trades": f"SELECT {_TRADE}, t.exchange_ts IS NOT NULL AS published, true AS unchanged FROM o_all_trades t {_ENRICHED}",
     "wap_quotes": f"SELECT {_QUOTE} FROM o_quotes",
     "required_fields": """
 SELECT count(*) AS n_rows,
@@ -299,6 +315,47 @@ FROM o_typed_events""",
             _gate("event_windowed_volume", "o_event_windows", "CAST(event_ts AS DATE)", 0),
         ]
     ),
+    "rejected_trades": """
+SELECT dt, hh, line, CASE damage WHEN 2 THEN 'mistyped: size' WHEN 4 THEN 'mistyped: price' ELSE 'unreadable' END AS reason
+FROM o_lines WHERE damage IN (1, 2, 3, 4)""",
+    "accepted_trades": f"SELECT {_RAW_TRADE} FROM o_accepted",
+    "ingest_report": f"""
+SELECT 'trades' AS feed, (SELECT count(*) FROM o_lines) AS n_read,
+       (SELECT count(*) FROM o_lines WHERE damage IN (1, 2, 3, 4)) AS n_rejected, CAST(0 AS BIGINT) AS n_nameless,
+       count(*) - count(DISTINCT ({_KEY}, trade_id)) AS n_repeated, count(DISTINCT ({_KEY}, trade_id)) AS n_loaded
+FROM o_accepted
+UNION ALL
+SELECT 'events', count(*), 0, count(*) - count(event_id), count(event_id) - count(DISTINCT event_id), count(DISTINCT event_id)
+FROM bronze_events""",
+    "hour_slice": """
+SELECT trade_id, exchange_ts, CAST(dt AS DATE) AS dt, CAST(hh AS INTEGER) AS hh, 'dt=' || dt || '/hh=' || hh AS folder
+FROM o_lines WHERE dt = '2024-01-15' AND hh BETWEEN '09' AND '11' AND damage NOT IN (1, 3)""",
+    "stream_upsert_trades": f"""
+SELECT {_RAW_TRADE}, _ingest_ts, _trade_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY {_KEY}, trade_id ORDER BY _ingest_ts DESC, price, size, side) AS rn FROM (
+    SELECT {_RAW_TRADE}, CAST(dt AS TIMESTAMP) + (CAST(hh AS INTEGER) + 1) * INTERVAL '1' HOUR AS _ingest_ts,
+           CAST(dt AS DATE) AS _trade_date FROM o_accepted
+    UNION ALL
+    SELECT exchange, symbol, exchange_ts, price, size + 1, sequence_num, side, trade_id,
+           CAST(dt AS TIMESTAMP) + 21 * INTERVAL '1' HOUR, CAST(dt AS DATE) FROM o_accepted WHERE sequence_num % 5 = 0) d) r
+WHERE rn = 1""",
+    "stream_minute_bars": """
+SELECT bar_start, exchange, symbol, CAST(f.p AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low,
+       CAST(l.p AS DOUBLE) AS close, volume, n_trades
+FROM (SELECT date_trunc('minute', exchange_ts) AS bar_start, exchange, symbol,
+             min({'t': exchange_ts, 'p': price}) AS f, max({'t': exchange_ts, 'p': price}) AS l,
+             max(price) AS high, min(price) AS low, CAST(sum(size) AS BIGINT) AS volume, count(*) AS n_trades
+      FROM o_in_time WHERE closed GROUP BY ALL) x""",
+    "stream_late_trades": """
+SELECT (SELECT count(*) FROM o_arrivals) AS n_read, count(*) FILTER (WHERE closed) AS n_in_bars,
+       count(*) FILTER (WHERE NOT closed) AS n_open, (SELECT count(*) FROM o_arrivals) - count(*) AS n_late
+FROM o_in_time""",
+    "stream_dedup_trades": "SELECT * REPLACE (CAST(price AS DOUBLE) AS price) FROM o_trades",
+    "incremental_bars": "SELECT * FROM o_bars",
+    "incremental_spreads": "SELECT * FROM o_spread_bars",
+    "bar_gate_from_footers": """
+SELECT CAST(bar_start AS DATE) AS day, count(*) AS n_rows, 'Success' AS status FROM o_bars GROUP BY 1""",
+    "sql_vwap": "SELECT * FROM o_vwap WHERE trade_date = DATE '2024-01-15'",
     "ohlcv_1m": "SELECT * FROM o_bars",
     "vwap_daily": "SELECT * FROM o_vwap",
     "spread_bps": """
@@ -319,4 +376,7 @@ SELECT bar_start, exchange, symbol, CAST(CAST(open AS DECIMAL(18,6)) + 1 AS DOUB
 FROM o_bars WHERE exchange <> 'ARCA'""",
 }
 
+_QUERIES["upsert_trades_bucketed"] = _QUERIES["upsert_trades"]
+_QUERIES["trade_event_enrich_salted"] = _QUERIES["trade_event_enrich"]
+
 ORACLES: dict[str, str] = {name: _with_views(query) for name, query in _QUERIES.items()}

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapemill.operators.dedup import keep_first, one_per_merge_key
+from tapemill.operators.dedup import keep_first, one_per_key, one_per_merge_key
 from tapemill.operators.upsert import drop_null_keys
 from tapemill.specs import TABLES
 
@@ -34,6 +34,12 @@ def merge_source(rows: DataFrame, table: str) -> DataFrame:
     return one_per_merge_key(rows, spec.keys, others)
 
 
+def load_source(rows: DataFrame, table: str) -> DataFrame:
+    """The same rows as `merge_source` in one pass over raw files."""
+    spec = TABLES[table]
+    return one_per_key(rows, spec.keys, [c for c in spec.columns if c not in spec.keys])
+
+
 def event_merge_source(rows: DataFrame) -> DataFrame:
     """Events without an id can never be merged and are dropped first."""
     spec = TABLES["bronze.events_raw"]

@@ -40,18 +40,19 @@ def build(app_name: str, master: str | None = None, **conf: str) -> SparkSession
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
-    """Raise the initial number of shuffle partitions to suit an input of this many Parquet bytes.
+    """Set the initial number of shuffle partitions to suit an input of this many Parquet bytes.
 
     Rows take about four times their Parquet size in a shuffle, so 32 MiB of input make a 128 MiB
     partition. Adaptive execution merges what turns out small; it cannot split what was planned
-    too coarse. Never lowers the session's own setting. There is no upper limit: at a petabyte raise
+    too coarse. Never goes below the session's own setting, and back to it for small inputs. There is no upper limit: at a petabyte raise
     `spark.sql.files.maxPartitionBytes` too, so that maps times reducers stays bearable.
     """
     wanted = -(-input_bytes // (32 * MIB))
-    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    current = int(spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > current:
-        spark.conf.set(initial, str(wanted))
+    initial, own = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.tapemill.ownPartitionNum"
+    # The session's own number is noted at the first call, so that one large input does not size later ones.
+    if spark.conf.get(own, None) is None:
+        spark.conf.set(own, spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(initial, str(max(wanted, int(spark.conf.get(own)))))
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:

@@ -10,6 +10,7 @@ from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapemill.specs import RAW_EVENTS, RAW_QUOTES, RAW_TRADES
@@ -45,7 +46,23 @@ def read_quotes(spark: SparkSession, root: str, day: date, hours: Iterable[int])
 
 
 def _read_present(spark: SparkSession, reader: DataFrameReader, schema: T.StructType, paths: list[str]) -> DataFrame:
-    present = [path for path in paths if Files(spark, path).exists(path)]
-    if not present:
+    found = present(spark, paths)
+    if not found:
         return spark.createDataFrame([], schema)
-    return reader.load(present).select(*schema.fieldNames())
+    return reader.load(found).select(*schema.fieldNames())
+
+
+def present(spark: SparkSession, paths: Iterable[str]) -> list[str]:
+    """Those of the paths that exist."""
+    return [path for path in paths if Files(spark, path).exists(path)]
+
+
+def read_hours(spark: SparkSession, feed: str, root: str, schema: T.StructType) -> DataFrame:
+    """All hours of a JSON feed with `dt`, `hh` and the file of each row.
+
+    The folder columns come from the paths, so filters on them leave out folders before any file is opened.
+    """
+    columns = T.StructType([*schema.fields, T.StructField("dt", T.DateType()), T.StructField("hh", T.IntegerType())])
+    base = f"{root}/raw/{feed}"
+    rows = spark.read.schema(columns).option("basePath", base).json(base)
+    return rows.select("*", F.col("_metadata.file_path").alias("file"))

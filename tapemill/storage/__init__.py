@@ -1 +1 @@
-"""Versioned Parquet tables: write, audit, publish, upkeep."""
+"""Keyed Parquet tables: write, audit, publish; buckets; counts from footers."""

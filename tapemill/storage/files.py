@@ -70,3 +70,6 @@ class Files:
 
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
+
+    def make_folder(self, path: str) -> None:
+        self._fs.mkdirs(self._path(path))

@@ -1,26 +1,27 @@
-"""Staged upsert, audit and publish.
+"""Write, audit, publish: rows go into new folders, one aggregate audits them, one rename makes them the table.
 
-Nothing a reader sees changes before the last step, one rename of a pointer file. A lost executor
-only repeats tasks of a Spark write; a lost driver leaves a staged version that upkeep removes.
-One writer per table at a time: publishing checks that `main` is still the version it started from.
+A lost executor only repeats tasks of a Spark write. A lost driver leaves a folder that nothing refers to. One
+writer per table at a time: publishing checks that the table is still the version it started from.
 """
 
 from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Callable, Iterable
-from dataclasses import asdict, dataclass
+from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapemill.operators import quality
 from tapemill.operators.upsert import drop_null_keys, upsert
-from tapemill.storage.table import MAIN, Pointer, Table, now_ms, partition_values
+from tapemill.storage.table import Pointer, Table, partition_values
 
 log = logging.getLogger(__name__)
 
+Merge = Callable[[DataFrame, DataFrame, tuple[str, ...]], DataFrame]
+
 
 class QualityError(RuntimeError):
     """A check failed; the published version is unchanged."""
@@ -32,109 +33,68 @@ class ConflictError(RuntimeError):
 
 @dataclass(frozen=True)
 class Staged:
-    """A version under audit: its pointer, its branch and the partitions it rewrites."""
+    """A version under audit, the partitions it rewrites and the version it was made from."""
 
-    branch: str
     pointer: Pointer
     written: dict[str, str]
+    parent: str | None
 
 
-def _ends(keys: Iterable[str]) -> list[Column]:
-    return [f(k).alias(f"{f.__name__}_{k}") for k in keys for f in (F.min, F.max)]
-
-
-def _bounds_of(row: Row, keys: Iterable[str]) -> dict[str, list]:
-    return {k: [row[f"min_{k}"], row[f"max_{k}"]] for k in keys if row[f"min_{k}"] is not None}
-
-
-def _partition_bounds(table: Table, written: dict[str, str]) -> dict[str, dict[str, list]]:
-    """Key bounds of freshly written partitions: one pass over their keys, one row per partition."""
-    spec = table.spec
-    if spec.partition_follows_key or not written:
-        return {}
-    rows = table.with_partition_columns(table.read_partitions(written))
-    names = {tuple(partition_values(p).values()): p for p in written}
-    bounds = rows.groupBy(*spec.partition_by).agg(*_ends(spec.keys)).collect()
-    return {names[_as_folder(row[: len(spec.partition_by)])]: _bounds_of(row, spec.keys) for row in bounds}
-
-
-def _as_folder(values: Iterable) -> tuple:
-    return tuple(None if v is None else str(v) for v in values)
-
-
-def _may_hold(partition: dict[str, list] | None, wanted: dict[str, list]) -> bool:
-    if partition is None:
-        return True
-    return all(k in partition and partition[k][0] <= high and partition[k][1] >= low for k, (low, high) in wanted.items())
-
-
-def _partitions_holding(table: Table, source: DataFrame, pointer: Pointer) -> set[str]:
-    """Published partitions with a row whose key occurs in `source`, wherever it lies.
+def _partitions_holding(table: Table, source: DataFrame, partitions: dict[str, str]) -> set[str]:
+    """Partitions with a row whose key occurs in `source`, by one semi join on the key.
 
-    Every matching row lies within the source's key bounds. Those rule out partitions by the
-    pointer's own bounds, then row groups by Parquet statistics; the join decides on the rest.
+    The source's least and greatest key values go along as filters, which Parquet's statistics answer for
+    most row groups.
     """
-    spec = table.spec
-    wanted = _bounds_of(drop_null_keys(source, spec.keys).agg(*_ends(spec.keys)).first(), spec.keys)
-    if not wanted:
+    keys = table.spec.keys
+    ends = drop_null_keys(source, keys).agg(*[f(k).alias(f"{f.__name__}_{k}") for k in keys for f in (F.min, F.max)]).first()
+    if ends[0] is None:
         return set()
-    possible = {p: v for p, v in pointer.partitions.items() if _may_hold(pointer.bounds.get(p), wanted)}
-    if not possible:
-        return set()
-    candidates = table.with_partition_columns(table.read_partitions(possible))
-    for key, (low, high) in wanted.items():
-        candidates = candidates.where(F.col(key).between(low, high))
-    hits = candidates.join(source.select(*spec.keys), list(spec.keys), "left_semi").select(*spec.partition_by)
-    values = {_as_folder(row) for row in hits.distinct().collect()}
-    return {p for p in possible if tuple(partition_values(p).values()) in values}
+    rows = table.with_partition_columns(table.read_partitions(partitions))
+    for key in keys:
+        rows = rows.where(F.col(key).between(ends[f"min_{key}"], ends[f"max_{key}"]))
+    hits = rows.join(source.select(*keys), list(keys), "left_semi").select(*table.spec.partition_by).distinct()
+    values = {tuple(None if v is None else str(v) for v in row) for row in hits.collect()}
+    return {p for p in partitions if tuple(partition_values(p).values()) in values}
 
 
-def stage_upsert(
-    table: Table, source: DataFrame, run_id: str, check_source: Callable[[DataFrame], None] | None = None
+def stage(
+    table: Table,
+    source: DataFrame,
+    run_id: str,
+    check_source: Callable[[DataFrame], None] | None = None,
+    merge: Merge = upsert,
 ) -> Staged:
-    """Upsert `source` into a new version under branch `audit_<run_id>`, replacing that branch.
+    """Merge `source` into the partitions it meets, as a new version that no reader sees.
 
-    The source is written once and read back from then on, so its plan runs once. It becomes the
-    new version as it is if it only adds partitions; otherwise just the partitions it meets are
-    rewritten.
+    The source is written once and read back from then on, so its plan runs once. It becomes the new version as
+    it is if it only adds partitions.
     """
-    branch = f"audit_{run_id}"
-    drop_branch(table, branch)
-    main = table.pointer(MAIN)
-    base = main.partitions if main else {}
+    current = table.pointer()
+    base = current.partitions if current else {}
     version = f"{run_id}-{uuid.uuid4().hex[:8]}"
-
-    incoming = table.write_version(source, f"{version}-in")
+    written = incoming = table.write_version(source, f"{version}-in")
     rows = table.read_partitions(incoming)
-    if check_source:
-        try:
+    try:
+        if check_source:
             check_source(rows)
-        except Exception:
+        met = set(incoming) & set(base)
+        if incoming and not table.spec.partition_follows_key:
+            met |= _partitions_holding(table, rows, base)
+        if met:
+            target = table.read_partitions({p: base[p] for p in met})
+            written = table.write_version(merge(target, rows, table.spec.keys), version)
             table.files.delete(table.version_path(f"{version}-in"))
-            raise
-
-    met = set(incoming) & set(base)
-    if main and not table.spec.partition_follows_key:
-        met |= _partitions_holding(table, rows, main)
-    written = incoming
-    if met:
-        target = table.read_partitions({p: base[p] for p in met})
-        written = table.write_version(upsert(target, rows, table.spec.keys), version)
-        table.files.delete(table.version_path(f"{version}-in"))
-    else:
-        version = f"{version}-in"
+    except Exception:
+        _discard(table, version)
+        raise
     untouched = {p: v for p, v in base.items() if p not in met}
-    bounds = {p: b for p, b in main.bounds.items() if p in untouched} if main else {}
-    bounds |= _partition_bounds(table, written)
-    pointer = Pointer(version, main.version if main else None, now_ms(), {**untouched, **written}, bounds)
-    table.write_ref(branch, pointer)
-    return Staged(branch, pointer, written)
+    return Staged(Pointer(version, {**untouched, **written}), written, current.version if current else None)
 
 
-def audit(table: Table, staged: Staged, suite: str | None) -> list[str]:
-    """Names of failed checks on all partitions the staged version rewrites."""
-    rows = table.read_partitions(staged.written)
-    return failed_checks(rows, suite, table.spec.not_null)
+def _discard(table: Table, version: str) -> None:
+    for folder in (version, f"{version}-in"):
+        table.files.delete(table.version_path(folder))
 
 
 def failed_checks(rows: DataFrame, suite: str | None, not_null: tuple[str, ...] = ()) -> list[str]:
@@ -150,23 +110,10 @@ def failed_checks(rows: DataFrame, suite: str | None, not_null: tuple[str, ...]
 
 
 def publish(table: Table, staged: Staged) -> None:
-    """Move the audited branch over `main` in one rename."""
-    main = table.pointer(MAIN)
-    if (main.version if main else None) != staged.pointer.parent:
-        raise ConflictError(f"{table.spec.name}: main is no longer {staged.pointer.parent}")
-    table.files.write_json(table.log_path(staged.pointer), asdict(staged.pointer))
-    table.files.replace(table.ref_path(staged.branch), table.ref_path(MAIN))
-
-
-def drop_branch(table: Table, branch: str) -> None:
-    """Remove a branch and the version folder only it uses."""
-    pointer = table.pointer(branch)
-    if pointer is None:
-        return
-    table.files.delete(table.ref_path(branch))
-    main = table.pointer(MAIN)
-    if main is None or pointer.version not in {main.version, *main.partitions.values()}:
-        table.files.delete(table.version_path(pointer.version))
+    current = table.pointer()
+    if (current.version if current else None) != staged.parent:
+        raise ConflictError(f"{table.spec.name}: the table is no longer {staged.parent}")
+    table.set_pointer(staged.pointer)
 
 
 def write_audit_publish(
@@ -175,15 +122,19 @@ def write_audit_publish(
     run_id: str,
     suite: str | None = None,
     check_source: Callable[[DataFrame], None] | None = None,
-) -> Pointer:
-    """Stage, audit, publish. On a failed audit the branch goes and `main` stays as it was."""
-    staged = stage_upsert(table, source, run_id, check_source)
+    merge: Merge = upsert,
+) -> Pointer | None:
+    """Stage, audit, publish; None if there was nothing to write. A failed audit leaves the table as it was."""
+    staged = stage(table, source, run_id, check_source, merge)
+    if not staged.written:
+        _discard(table, staged.pointer.version)
+        return None
     try:
-        failed = audit(table, staged, suite)
+        failed = failed_checks(table.read_partitions(staged.written), suite, table.spec.not_null)
         if failed:
             raise QualityError(f"{table.spec.name} run {run_id}: {', '.join(failed)}")
         publish(table, staged)
     except Exception:
-        drop_branch(table, staged.branch)
+        _discard(table, staged.pointer.version)
         raise
     return staged.pointer

@@ -1,13 +1,11 @@
-"""A keyed table as immutable Parquet folders plus a small pointer file.
+"""A keyed table: Parquet folders written by Spark and one small file that says which folder holds each partition.
 
     <root>/data/version=<v>/<partition dirs>/*.parquet   written once, never changed
-    <root>/refs/main.json, <root>/refs/audit_<run>.json  which version holds each partition
-    <root>/log/<time>-<version>.json                     published pointers, for expiry
+    <root>/current.json                                  which version holds each partition
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass, field
 from datetime import date
@@ -17,26 +15,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapemill.specs import TableSpec
-from tapemill.storage.files import Entry, Files
+from tapemill.storage.files import Files
 
-MAIN = "main"
 # Directory value that stands for NULL in a partition column.
 NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
 class Pointer:
-    """Which version folder holds each partition of the table.
-
-    `bounds` has the least and greatest value of each key column per partition, where an upsert
-    may have to find keys in any partition; most partitions are then ruled out without a read.
-    """
+    """Which version folder holds each partition of the table."""
 
     version: str
-    parent: str | None
-    created_ms: int
     partitions: dict[str, str] = field(default_factory=dict)
-    bounds: dict[str, dict[str, list]] = field(default_factory=dict)
 
 
 def partition_values(partition: str) -> dict[str, str | None]:
@@ -58,7 +48,7 @@ class Table:
         self.files = Files(spark, self.root)
 
     def create_if_absent(self) -> bool:
-        """Record the definition; the table has no published version until the first publish."""
+        """Record the definition; the table has no rows until the first publish."""
         path = f"{self.root}/table.json"
         if self.files.exists(path):
             return False
@@ -70,76 +60,51 @@ class Table:
         )
         return True
 
-    # Pointers ------------------------------------------------------------------------------------
-
-    def ref_path(self, ref: str) -> str:
-        return f"{self.root}/refs/{ref}.json"
-
-    def pointer(self, ref: str = MAIN) -> Pointer | None:
-        """The version a ref points at, or None if nothing has been published or staged there."""
-        content = self.files.read_json(self.ref_path(ref))
+    def pointer(self) -> Pointer | None:
+        """The published version, or None if nothing has been published."""
+        content = self.files.read_json(f"{self.root}/current.json")
         return Pointer(**content) if content else None
 
-    def refs(self) -> list[str]:
-        names = (e.name for e in self.files.listing(f"{self.root}/refs"))
-        return [n.removesuffix(".json") for n in names if n.endswith(".json")]
-
-    def write_ref(self, ref: str, pointer: Pointer) -> None:
-        self.files.write_json(self.ref_path(ref), asdict(pointer))
-
-    def log_path(self, pointer: Pointer) -> str:
-        return f"{self.root}/log/{pointer.created_ms:015d}-{pointer.version}.json"
-
-    def log(self) -> list[Entry]:
-        """Published pointers, oldest first."""
-        return sorted((e for e in self.files.listing(f"{self.root}/log") if e.name.endswith(".json")),
-                      key=lambda e: e.name)
-
-    # Data ----------------------------------------------------------------------------------------
+    def set_pointer(self, pointer: Pointer) -> None:
+        """One rename: readers see the old version or the new one."""
+        self.files.write_json(f"{self.root}/current.json", asdict(pointer))
 
     def version_path(self, version: str) -> str:
         return f"{self.root}/data/version={version}"
 
-    def versions_on_disk(self) -> list[Entry]:
-        return [e for e in self.files.listing(f"{self.root}/data") if e.name.startswith("version=")]
-
-    def partition_folders(self, version: str) -> dict[str, Entry]:
-        """Partition folders of a version by partition name, by listing folders only."""
-        found = [("", folder) for folder in self.versions_on_disk() if folder.name == f"version={version}"]
+    def partition_folders(self, version: str) -> list[str]:
+        """Names of the partition folders of a version, by listing folders only."""
+        found = [("", self.version_path(version))]
         for _ in self.spec.partition_by:
             found = [
-                (f"{name}/{e.name}".lstrip("/"), e)
+                (f"{name}/{e.name}".lstrip("/"), e.path)
                 for name, folder in found
-                for e in self.files.listing(folder.path)
+                for e in self.files.listing(folder)
                 if e.is_dir and "=" in e.name
             ]
-        return dict(found)
+        return [name for name, _ in found]
 
-    def partitions(self, only: Callable[[dict], bool] | None = None, ref: str = MAIN) -> dict[str, str]:
-        """Partitions at a ref, chosen by their values before any file is listed."""
-        pointer = self.pointer(ref)
+    def partitions(self, only: Callable[[dict], bool] | None = None) -> dict[str, str]:
+        """Published partitions, chosen by their values before any file is listed."""
+        pointer = self.pointer()
         found = pointer.partitions if pointer else {}
         return {p: v for p, v in found.items() if only is None or only(partition_values(p))}
 
-    def read(self, ref: str = MAIN, only: Callable[[dict], bool] | None = None) -> DataFrame:
-        return self.read_partitions(self.partitions(only, ref))
+    def read(self, only: Callable[[dict], bool] | None = None) -> DataFrame:
+        return self.read_partitions(self.partitions(only))
+
+    def paths(self, partitions: dict[str, str]) -> list[str]:
+        return [f"{self.version_path(version)}/{partition}" for partition, version in partitions.items()]
 
     def read_partitions(self, partitions: dict[str, str]) -> DataFrame:
-        paths = [f"{self.version_path(version)}/{partition}" for partition, version in partitions.items()]
-        if not paths:
+        if not partitions:
             return self.spark.createDataFrame([], self.spec.schema)
-        rows = (
-            self.spark.read.schema(self.spec.stored_schema)
-            .option("basePath", f"{self.root}/data")
-            .parquet(*paths)
-        )
-        return rows.select(*self.spec.columns)
+        reader = self.spark.read.schema(self.spec.stored_schema).option("basePath", f"{self.root}/data")
+        return reader.parquet(*self.paths(partitions)).select(*self.spec.columns)
 
     def bytes_of(self, partitions: dict[str, str]) -> int:
         """Size of the Parquet files of some partitions."""
-        return sum(
-            e.size for p, v in partitions.items() for e in self.files.listing(f"{self.version_path(v)}/{p}")
-        )
+        return sum(e.size for path in self.paths(partitions) for e in self.files.listing(path))
 
     def with_partition_columns(self, rows: DataFrame) -> DataFrame:
         return rows.withColumns({day: F.to_date(ts) for day, ts in self.spec.day_of.items()})
@@ -162,7 +127,3 @@ class Table:
             .parquet(self.version_path(version))
         )
         return dict.fromkeys(self.partition_folders(version), version)
-
-
-def now_ms() -> int:
-    return time.time_ns() // 1_000_000

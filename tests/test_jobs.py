@@ -67,14 +67,14 @@ def test_permissive_json(lake):
 
 def test_nothing_to_do(lake):
     drop_events(lake)
-    assert jobs.ingest_events(lake, DAY, "r") is None
-    assert jobs.ingest_trades(lake, DAY, [9], "r") is None
-    assert jobs.ingest_events(lake, dt.date(2024, 2, 1), "r") is None
+    assert jobs.ingest_events(lake, DAY, "r").pointer is None
+    assert jobs.ingest_trades(lake, DAY, [9], "r").pointer is None
+    assert jobs.ingest_events(lake, dt.date(2024, 2, 1), "r").pointer is None
     assert jobs.promote_trades(lake, DAY, "r") is None
     assert jobs.promote_quotes(lake, DAY, "r") is None
     assert jobs.promote_events(lake, DAY, "r") is None
     drop_events(lake, event_line(event_id=""))
-    assert jobs.ingest_events(lake, DAY, "r") is None
+    assert jobs.ingest_events(lake, DAY, "r").pointer is None
 
 
 def test_lineage_comes_from_the_run(lake):
@@ -134,7 +134,7 @@ def test_modes_are_validated(lake):
 
 
 def test_a_trading_day(lake):
-    """Calendar, two slots with a late correction, close and upkeep."""
+    """Calendar, two slots with a late correction, close."""
     jobs.create_tables(lake)
     drop_events(lake, event_line("E1"), event_line("E1", "GUIDANCE").replace("text", "later"), event_line("E2", start="T12:00:00", end="T12:30:00"))
     slots.run_calendar(lake, DAY, "cal", at("2024-01-15T05:30:00"))
@@ -159,7 +159,6 @@ def test_a_trading_day(lake):
     assert window["E2"].pre_volume == 5
 
     before = {n: sorted(map(repr, lake.table(n).read().collect())) for n in TABLES}
-    jobs.maintain_all(lake)
     slots.run_close(lake, DAY, "close-again")
     assert {n: sorted(map(repr, lake.table(n).read().collect())) for n in TABLES} == before
 

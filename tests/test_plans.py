@@ -86,3 +86,13 @@ def test_lineage_is_utc_whatever_the_zone(spark):
     for instant in (dt.datetime(2024, 1, 15, 16), dt.datetime(2024, 1, 15, 21, tzinfo=zone)):
         out = bronze.with_lineage(rows, "_trade_date", DAY, instant)
         assert out.selectExpr("string(_ingest_ts)").first()[0] == "2024-01-15 16:00:00"
+
+
+def test_one_large_input_does_not_size_later_ones(spark):
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    session.size_shuffles(spark, 0)
+    own = spark.conf.get(initial)
+    session.size_shuffles(spark, 1 << 40)
+    assert int(spark.conf.get(initial)) == 1 << 15
+    session.size_shuffles(spark, 0)
+    assert spark.conf.get(initial) == own

@@ -1,4 +1,4 @@
-"""Versioned tables: staging, audit, publish, moves, upkeep."""
+"""Keyed tables: staging, audit, publish, moves."""
 
 import datetime as dt
 from decimal import Decimal
@@ -8,8 +8,7 @@ from conftest import at
 
 from tapemill.specs import TABLES
 from tapemill.storage import publish as pub
-from tapemill.storage import upkeep
-from tapemill.storage.table import MAIN, Table, on_days, partition_values
+from tapemill.storage.table import Table, on_days, partition_values
 
 TRADES, EVENTS = TABLES["silver.trades"], TABLES["bronze.events_raw"]
 
@@ -42,6 +41,10 @@ def state(table):
     return pointer, files
 
 
+def folders(table):
+    return {e.name for e in table.files.listing(f"{table.root}/data")}
+
+
 def prices(df):
     return sorted((r.trade_date.day, r.exchange, r.sequence_num, int(r.price)) for r in df.collect())
 
@@ -57,10 +60,8 @@ def test_first_publish_and_upsert(table, trades):
     first = t.pointer()
     publish(t, trades(trade(2, day="2024-01-16", price=5), trade(3, day="2024-01-16", exchange="ARCA")), "r2")
     assert prices(t.read()) == [(15, "NYSE", 1, 1), (16, "ARCA", 3, 1), (16, "NYSE", 2, 5)]
-    assert t.pointer().parent == first.version
     untouched = "trade_date=2024-01-15/exchange=NYSE"
     assert t.pointer().partitions[untouched] == first.partitions[untouched]
-    assert t.refs() == [MAIN]
 
 
 def test_columns_types_and_codec(table, trades):
@@ -79,30 +80,35 @@ def test_partition_filter_reads_only_those_folders(table, trades):
     assert len(rows.inputFiles()) == 1
 
 
-def test_failed_audit_leaves_main_and_removes_the_branch(table, trades):
+def test_failed_audit_leaves_the_table_and_no_folder(table, trades):
     t = table()
     publish(t, trades(trade(1)))
-    before, folders = state(t), {e.name for e in t.versions_on_disk()}
+    before, on_disk = state(t), folders(t)
     with pytest.raises(pub.QualityError, match="contained_in"):
         publish(t, trades(trade(1, price=9), trade(2, side="HOLD")), "bad")
-    assert state(t) == before
-    assert t.refs() == [MAIN] and {e.name for e in t.versions_on_disk()} == folders
+    assert state(t) == before and folders(t) == on_disk
 
 
 def test_failed_first_publish_leaves_nothing(table, trades):
     t = table()
     with pytest.raises(pub.QualityError, match=r"complete\(exchange_ts\)"):
         publish(t, trades(trade(1, exchange_ts=None, trade_date=None)))
-    assert t.pointer() is None and t.refs() == [] and t.versions_on_disk() == []
+    assert t.pointer() is None and not folders(t)
+
+
+def test_nothing_to_write_publishes_nothing(table, trades):
+    t = table()
+    assert publish(t, trades()) is None and t.pointer() is None
+    publish(t, trades(trade(1)))
+    before = state(t)
+    assert publish(t, trades(), "again") is None and state(t) == before
 
 
-def test_staged_rows_can_be_read_before_publishing_and_a_rerun_replaces_them(table, trades):
+def test_staged_rows_are_seen_only_once_published(table, trades):
     t = table()
     publish(t, trades(trade(1)))
-    pub.stage_upsert(t, trades(trade(1, price=7)), "slot")
-    staged = pub.stage_upsert(t, trades(trade(1, price=8)), "slot")
-    assert prices(t.read(staged.branch)) == [(15, "NYSE", 1, 8)] and prices(t.read()) == [(15, "NYSE", 1, 1)]
-    assert len(t.versions_on_disk()) == 2
+    staged = pub.stage(t, trades(trade(1, price=8)), "slot")
+    assert prices(t.read_partitions(staged.written)) == [(15, "NYSE", 1, 8)] and prices(t.read()) == [(15, "NYSE", 1, 1)]
     pub.publish(t, staged)
     assert prices(t.read()) == [(15, "NYSE", 1, 8)]
 
@@ -110,7 +116,7 @@ def test_staged_rows_can_be_read_before_publishing_and_a_rerun_replaces_them(tab
 def test_publishing_over_another_writer_is_refused(table, trades):
     t = table()
     publish(t, trades(trade(1)))
-    staged = pub.stage_upsert(t, trades(trade(1, price=7)), "slow")
+    staged = pub.stage(t, trades(trade(1, price=7)), "slow")
     publish(t, trades(trade(1, price=8)), "fast")
     with pytest.raises(pub.ConflictError):
         pub.publish(t, staged)
@@ -136,17 +142,13 @@ def test_same_key_under_another_partition_moves_the_row(table, frame):
     assert t.read().count() == 2
 
 
-def test_key_bounds_rule_out_partitions_without_a_read(table, frame, monkeypatch):
+def test_partitions_of_a_key_are_found_by_a_semi_join(table, frame):
     t = table(EVENTS)
     for n, day in (("A1", "2024-01-15"), ("B1", "2024-01-16"), ("C1", "2024-01-17")):
         publish(t, frame(EVENTS.schema, raw_event(n, day)), suite=None)
-    assert t.pointer().bounds["_event_load_date=2024-01-16"] == {"event_id": ["B1", "B1"]}
-    read = []
-    original = Table.read_partitions
-    monkeypatch.setattr(Table, "read_partitions", lambda self, p: read.append(set(p)) or original(self, p))
     source = frame(EVENTS.schema, raw_event("B1", "2024-01-18"), raw_event("B2", "2024-01-18"))
-    assert pub._partitions_holding(t, source, t.pointer()) == {"_event_load_date=2024-01-16"}
-    assert read == [{"_event_load_date=2024-01-16"}]
+    assert pub._partitions_holding(t, source, t.partitions()) == {"_event_load_date=2024-01-16"}
+    assert pub._partitions_holding(t, frame(EVENTS.schema, raw_event(None, "2024-01-18")), t.partitions()) == set()
 
 
 def test_key_derived_partitions_are_known():
@@ -173,76 +175,3 @@ def test_odd_partition_values_survive(table, trades):
     publish(t, trades(*(trade(i, exchange=e) for i, e in enumerate(odd))))
     publish(t, trades(trade(0, exchange="A/B", price=4)))
     assert sorted((r.exchange, int(r.price)) for r in t.read().collect()) == sorted(zip(odd, [4, 1, 1, 1]))
-
-
-# Upkeep ------------------------------------------------------------------------------------------
-
-
-def many_files(t, trades):
-    """A published partition of six small files and one of a single file."""
-    rows = trades(*(trade(i) for i in range(60)), trade(99, day="2024-01-16"))
-    by = TRADES.partition_by
-    rows.repartition(6, "sequence_num").write.partitionBy(*by).parquet(t.version_path("v1"))
-    parts = dict.fromkeys(t.partition_folders("v1"), "v1")
-    staged = pub.Staged("audit_v1", pub.Pointer("v1", None, 1, parts), parts)
-    t.write_ref(staged.branch, staged.pointer)
-    pub.publish(t, staged)
-
-
-def test_compaction_rewrites_only_fragmented_partitions(table, trades):
-    t = table()
-    many_files(t, trades)
-    rows = prices(t.read())
-    hot, single = "trade_date=2024-01-15/exchange=NYSE", "trade_date=2024-01-16/exchange=NYSE"
-    assert upkeep.compaction_plan(t) == {hot: 1}
-    assert upkeep.compact(t) == 1 and upkeep.compact(t) == 0
-    assert prices(t.read()) == rows
-    pointer = t.pointer()
-    assert pointer.partitions[single] == "v1" and pointer.partitions[hot] != "v1"
-    assert len(t.read(only=on_days("trade_date", [dt.date(2024, 1, 15)])).inputFiles()) == 1
-
-
-def test_compaction_splits_a_large_partition_by_size(table, trades):
-    t = table()
-    many_files(t, trades)
-    sizes = [e.size for e in t.files.listing(f"{t.version_path('v1')}/trade_date=2024-01-15/exchange=NYSE")
-             if e.name.endswith(".parquet")]
-    assert upkeep.compact(t, target=sum(sizes) // 3 + 1, small=10**9) == 1
-    assert len(t.read(only=on_days("trade_date", [dt.date(2024, 1, 15)])).inputFiles()) == 3
-    assert t.read().count() == 61
-
-
-def test_expiry_keeps_the_last_versions_and_their_files(table, trades):
-    t = table()
-    for i in range(4):
-        publish(t, trades(trade(1, price=i + 1), trade(10 + i, day=f"2024-01-{16 + i}")), f"r{i}")
-    future = upkeep.days_ago_ms(-1)
-    assert upkeep.expire_versions(t, upkeep.days_ago_ms(7)) == 0
-    assert upkeep.expire_versions(t, future) == 2
-    assert len(t.log()) == 2
-    assert len(prices(t.read())) == 5
-    assert upkeep.expire_versions(t, future) == 0
-
-
-def test_orphans_go_only_when_old_and_unused(table, trades):
-    t = table()
-    publish(t, trades(trade(1)))
-    staged = pub.stage_upsert(t, trades(trade(2)), "open")
-    t.write_version(trades(trade(3)), "lost")
-    assert upkeep.remove_orphans(t, upkeep.days_ago_ms(3)) == 0
-    assert upkeep.remove_orphans(t, upkeep.days_ago_ms(-1)) == 1
-    assert not t.files.exists(t.version_path("lost"))
-    assert t.read().count() == 1 and t.read(staged.branch).count() == 2
-
-
-def test_upkeep_goes_on_after_errors(table):
-    seen = []
-
-    def step(t):
-        seen.append(t.spec.name)
-        if len(seen) == 1:
-            raise RuntimeError("broken")
-
-    with pytest.raises(ExceptionGroup) as caught:
-        upkeep.maintain_all([table(), table(EVENTS)], step)
-    assert len(seen) == 2 and len(caught.value.exceptions) == 1
