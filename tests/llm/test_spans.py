@@ -151,7 +151,7 @@ def slow_passages(texts, size):
 def test_repeated_passages(spark):
     rng = random.Random(2)
     new = lambda n: [f"w{rng.randint(0, 5000)}" for _ in range(n)]
-    shared = [new(rng.choice([51, 60, 120])) for _ in range(12)]
+    shared = [new(rng.choice([50, 51, 60, 120])) for _ in range(12)]
     texts = []
     for k in range(120):
         body = new(rng.randint(0, 90))
@@ -162,19 +162,38 @@ def test_repeated_passages(spark):
             body += part[rng.randint(0, 30) :]
         texts.append((k, " ".join(body + new(rng.randint(0, 40)))))
     texts += [(500, texts[3][1]), (501, "again and again " * 60), (502, " ".join(new(300)))]
-    got = suffix_dedup.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
-    marked = {k: set() for k, _ in texts}
-    for r in got:
-        assert r["n_words"] == r["end_word"] - r["start_word"] >= 50
-        marked[r["doc_id"]] |= set(range(r["start_word"], r["end_word"]))
-    for k, starts in slow_passages(texts, 50).items():
-        assert marked[k] <= {p for i in starts for p in range(i, i + 50)}
-    for k, starts in slow_passages(texts, 51).items():
-        assert all(set(range(i + 1, i + 50)) <= marked[k] for i in starts)
+    marked = assert_exact_passages(suffix_dedup.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")), texts)
     assert sum(map(len, marked.values())) > 3000
     assert not marked[502]
 
 
+def assert_exact_passages(got, texts):
+    """Passages are the longest runs of the words that brute force covers; returns these words by document."""
+    rows = {k: [] for k, _ in texts}
+    for r in got.collect():
+        assert r["n_words"] == r["end_word"] - r["start_word"] >= 50
+        rows[r["doc_id"]].append((r["start_word"], r["end_word"]))
+    covered = {k: {p for i in starts for p in range(i, i + 50)} for k, starts in slow_passages(texts, 50).items()}
+    for k, words in covered.items():
+        starts = sorted(p for p in words if p - 1 not in words)
+        ends = sorted(p + 1 for p in words if p + 1 not in words)
+        assert sorted(rows[k]) == list(zip(starts, ends))
+    return covered
+
+
+def test_repeated_passages_of_whole_tables(spark):
+    for sf in (SF, "/root/testdata/sf0.01"):
+        texts = [(r["doc_id"], r["text"] or "") for r in pq.read_table(f"{sf}/documents.parquet").to_pylist()]
+        assert any(assert_exact_passages(queries.QUERIES["op8_repeated_passages"](spark, sf), texts).values())
+
+
+def test_a_passage_of_exactly_fifty_words_at_any_place(spark):
+    passage = " ".join(f"p{i}" for i in range(50))
+    texts = [(k, " ".join([*(f"a{k}x{i}" for i in range(k)), passage, *(f"b{k}x{i}" for i in range(40 - k))])) for k in range(41)]
+    got = suffix_dedup.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert {(r["doc_id"], r["start_word"], r["end_word"]) for r in got.collect()} == {(k, k, k + 50) for k in range(41)}
+
+
 def test_repeated_passages_of_messy_rows(documents):
     got = suffix_dedup.repeated_passages(documents(*MESSY)).collect()
     assert {r["doc_id"] for r in got} == {6}
