@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -106,9 +106,39 @@ def assign(docs: DataFrame, tree: Tree = EIGHT, kept_columns: list[str] | None =
     )
 
 
-def write_shards(docs: DataFrame, path: str, tree: Tree = EIGHT) -> None:
-    """Write whole documents as Parquet, one folder per shard."""
-    sharded(docs, tree).hint("rebalance", "shard").write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, tree: Tree = EIGHT) -> DataFrame:
+    """Write whole documents as Parquet, one folder per shard; returns the manifest, read from what was written.
+
+    Files hold the documents' columns with size, text_crc32 and grown_shard (of clashing names these win), the folder
+    tells the shard. Texts move once, dealt by shard, where a hot shard is split over several files. A row's slot is its
+    place in its shard, files in order of their names, so nothing is sorted and no text is read again. NULL and
+    repeated doc_ids are rows like any others; an empty input writes no folder and gives an empty manifest.
+    """
+    text, key = text_of(docs), docs["doc_id"]
+    kept = [docs[c] for c in docs.columns if c.lower() not in ("size", "text_crc32", "law", "shard", "slot", "grown_shard")]
+    placed = docs.select(
+        *kept,
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        shard_of(key, grown(tree)).alias("grown_shard"),
+        shard_of(key, tree).alias("shard"),
+    )
+    placed.hint("rebalance", "shard").write.partitionBy("shard").parquet(path)
+    return written_manifest(docs.sparkSession, path, docs.schema["doc_id"].dataType.simpleString())
+
+
+def written_manifest(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row that write_shards wrote to a folder."""
+    schema = f"doc_id {id_type}, size bigint, text_crc32 bigint, grown_shard int, shard int"
+    rows = spark.read.schema(schema).parquet(path).select(
+        "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")
+    )
+    files = rows.groupBy("shard", "file").agg(F.count(F.lit(1)).alias("rows"))
+    before = W.partitionBy("shard").orderBy("file").rowsBetween(W.unboundedPreceding, -1)
+    starts = files.select(F.col("file").alias("of"), F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    return rows.join(starts, F.col("file") == F.col("of")).select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("start") + F.col("place")).alias("slot"), "grown_shard"
+    )
 
 
 def sharded(docs: DataFrame, tree: Tree = EIGHT) -> DataFrame:

@@ -1,8 +1,9 @@
 """Rows that are NULL, empty, long, tied or repeated, empty tables, and columns with clashing names."""
 
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from tapemill.llm import decontamination, exact_dedup, mixing, sharding, simhash, toxicity
@@ -247,3 +248,34 @@ def test_empty_tables(spark, documents):
     assert decontamination.contamination_report(nothing, benchmark).count() == 0
     assert decontamination.decontaminated(documents((1, PROSE)), benchmark).count() == 1
     assert DOCUMENTS == nothing.schema
+
+
+def test_written_shards_hold_every_text_at_its_slot(spark, documents, tmp_path):
+    docs = documents(*MESSY, *((100 + i, f"text {i} of many") for i in range(300))).repartition(5)
+    manifest = sharding.write_shards(docs, str(tmp_path / "shards"))
+    assert manifest.columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    got = [tuple(r) for r in manifest.collect()]
+    other = [tuple(r) for r in sharding.shard_manifest(docs).collect()]
+    # All but the order of slots is that of the manifest of unwritten documents.
+    assert sorted(map(str, ((*r[:5], r[6]) for r in got))) == sorted(map(str, ((*r[:5], r[6]) for r in other)))
+    slots = defaultdict(list)
+    for r in got:
+        slots[r[4]].append(r[5])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(slots) == 8
+    written = spark.read.parquet(str(tmp_path / "shards"))
+    kept = [c for c in docs.columns if c not in ("shard", "size")]
+    assert Counter(map(str, written.select(kept).collect())) == Counter(map(str, docs.select(kept).collect()))
+    for folder in (tmp_path / "shards").glob("shard=*"):
+        place = {r[5]: r[0] for r in got if r[4] == int(folder.name[6:])}
+        files = [pq.read_table(f)["doc_id"].to_pylist() for f in sorted(folder.glob("*.parquet"))]
+        assert [place[i] for i in range(len(place))] == [d for ids in files for d in ids]
+    assert sharding.write_shards(documents(), str(tmp_path / "none")).count() == 0
+
+
+def test_slots_are_gapless_over_many_buckets(spark, documents, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS_PER_SLOT_BUCKET", 7)
+    slots = defaultdict(list)
+    for r in sharding.shard_manifest(documents(*MESSY, *((i, "t") for i in range(200)))).collect():
+        slots[r["shard"]].append(r["slot"])
+    assert sum(map(len, slots.values())) == len(MESSY) + 200
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())

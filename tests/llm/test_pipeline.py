@@ -1,6 +1,8 @@
 """The pipeline's rows against what brute force says each stage should keep."""
 
 import pyarrow.parquet as pq
+from llm_cases import documents  # noqa: F401  a fixture
+from llm_cases import BENCHMARK, LABELS, MESSY, PROSE
 from test_queries import SF, slow_contamination, slow_fingerprint
 
 import corpus_pipeline
@@ -33,3 +35,19 @@ def test_stages_return_the_columns_of_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(30)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF).columns == docs.columns
+
+
+def test_run_on_empty_and_messy_tables(spark, documents, tmp_path):
+    labels = [(i, 1, 0) for i in range(1, 9)] + [(9, 0, 1), (None, 1, None)]
+    for name, rows in (("empty", []), ("messy", MESSY)):
+        for table, frame in (
+            ("documents", documents(*rows)),
+            ("labels", spark.createDataFrame(labels if rows else [], LABELS)),
+            ("benchmark", spark.createDataFrame([(1, None), (2, "never seen words")] if rows else [], BENCHMARK)),
+        ):
+            frame.write.parquet(str(tmp_path / name / f"{table}.parquet"))
+        got = corpus_pipeline.run(spark, str(tmp_path / name)).collect()
+        assert bool(got) == bool(rows)
+        # Of the equal texts at most one stays, and every row that stays is one of the table's.
+        assert len({r["doc_id"] for r in got if r["size"] == len(PROSE) + 1}) <= 1
+        assert {r["doc_id"] for r in got} <= {i for i, _ in rows}
