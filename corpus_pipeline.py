@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tapemill.llm import decontamination, mixing, sharding, simhash, toxicity
 from tapemill.llm.common import drop_stored, noting_stored, stored, table
+from tapemill.session import scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -64,8 +65,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_after("mix")
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The manifest of shards: where every row goes. sharding.write_shards writes the texts accordingly."""
-    return sharding.shard_manifest(docs)
+    """Whole documents are written to one folder per shard; returns the manifest of what was written."""
+    return sharding.write_shards(docs, scratch_dir(spark, "shards"))
 
 
 STAGES: list[tuple[str, Stage]] = [
