@@ -14,7 +14,7 @@ from contextvars import ContextVar
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapemill.session import configure, scratch_dir
+from tapemill.session import MIB, configure, scratch_dir
 
 # Folders of the tables stored since the innermost `noting_stored` began; None outside of one.
 _NOTED: ContextVar[list[str] | None] = ContextVar("stored folders", default=None)
@@ -41,12 +41,37 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that a frame reads, as Spark knows them; rows from elsewhere have no known size."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size())]
+    return sum(size for size in sizes if size < 1 << 60)
+
+
+@contextmanager
+def shuffles_sized_for(df: DataFrame) -> Iterator[None]:
+    """Shuffles planned inside the block start with a partition per 32 MiB that the frame reads, if that is more than
+    the session's own number; adaptive execution merges what turns out small. The setting is put back afterwards."""
+    conf, name = df.sparkSession.conf, "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = conf.get(name, None)
+    wanted = -(-input_bytes(df) // (32 * MIB))
+    if wanted <= int(before or conf.get("spark.sql.shuffle.partitions")):
+        yield
+        return
+    conf.set(name, str(wanted))
+    try:
+        yield
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: lineage ends here, and the size is known."""
     path = scratch_dir(df.sparkSession, purpose)
     if (noted := _NOTED.get()) is not None:
         noted.append(path)
-    df.write.parquet(path)
+    with shuffles_sized_for(df):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

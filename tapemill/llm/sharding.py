@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tapemill.llm.common import stored, text_of
+from tapemill.llm.common import shuffles_sized_for, stored, text_of
 
 # region -> rack -> shard number -> weight
 Tree = Mapping[str, Mapping[str, Mapping[int, float]]]
@@ -123,7 +123,8 @@ def write_shards(docs: DataFrame, path: str, tree: Tree = EIGHT) -> DataFrame:
         shard_of(key, grown(tree)).alias("grown_shard"),
         shard_of(key, tree).alias("shard"),
     )
-    placed.hint("rebalance", "shard").write.partitionBy("shard").parquet(path)
+    with shuffles_sized_for(docs):
+        placed.hint("rebalance", "shard").write.partitionBy("shard").parquet(path)
     return written_manifest(docs.sparkSession, path, docs.schema["doc_id"].dataType.simpleString())
 
 

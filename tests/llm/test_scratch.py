@@ -1,7 +1,8 @@
 """What the pipeline leaves in the shared folder while it runs."""
 
 import corpus_pipeline
-from tapemill.llm.common import drop_stored, noting_stored, stored
+from tapemill.llm import common
+from tapemill.llm.common import drop_stored, input_bytes, noting_stored, shuffles_sized_for, stored, table
 
 
 def test_stored_tables_are_noted_and_dropped(spark):
@@ -32,3 +33,25 @@ def test_a_stage_deletes_what_the_one_before_stored(spark, tmp_path):
     kept = spark.read.parquet(str(tmp_path / "kept"))
     assert {r["doc_id"] for r in corpus_pipeline.drop_contaminated(spark, kept, str(tmp_path)).collect()} == {1, 3}
     assert not any(_exists(spark, path) for path in made)
+
+
+def test_shuffles_grow_with_the_input_and_go_back(spark, monkeypatch):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    size = input_bytes(docs)
+    assert size > 1 << 20 and input_bytes(docs.groupBy("lang").count()) == size == input_bytes(docs.union(docs)) // 2
+    assert input_bytes(spark.createDataFrame([(1,)], "x int")) < 1 << 20
+    before, own = spark.conf.get(name, None), int(spark.conf.get(name, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    with shuffles_sized_for(docs):
+        assert spark.conf.get(name, None) == before
+    monkeypatch.setattr(common, "MIB", size // (32 * 10 * own))
+    with shuffles_sized_for(docs):
+        assert int(spark.conf.get(name)) >= 10 * own
+        counts = docs.groupBy("doc_id").count()
+        assert counts.count() == docs.select("doc_id").distinct().count()
+    assert spark.conf.get(name, None) == before
+    try:
+        with shuffles_sized_for(docs):
+            raise ValueError
+    except ValueError:
+        assert spark.conf.get(name, None) == before
