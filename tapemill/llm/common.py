@@ -7,10 +7,13 @@ then on; it tells rows apart that agree in every column, whatever their doc_id i
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,8 +113,8 @@ def text_of(docs: DataFrame) -> Column:
     return F.coalesce(docs["text"].cast("string"), F.lit(""))
 
 
-def labelled_sample(docs: DataFrame, known: DataFrame, label: str, rows: int, chars: int):
-    """At most `rows` (text, label) of known (doc_id, label), texts of at most `chars` characters, as an Arrow table.
+def labelled_sample(docs: DataFrame, known: DataFrame, label: str, rows: int, chars: int) -> DataFrame:
+    """At most `rows` (text, label) of known (doc_id, label), texts of at most `chars` characters, in one partition.
 
     Labels of lowest hash go first; three times as many as rows are asked for are looked up, which bounds
     what is broadcast, because some are of long, NULL or unknown texts. The order is the same for any layout.
@@ -119,7 +122,26 @@ def labelled_sample(docs: DataFrame, known: DataFrame, label: str, rows: int, ch
     lowest = known.orderBy(F.xxhash64("doc_id"), "doc_id", label).limit(3 * rows)
     texts = docs.where(f"text IS NOT NULL AND length(text) <= {chars}").select("doc_id", "text")
     order = [F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), label]
-    return texts.join(F.broadcast(lowest), "doc_id").orderBy(*order).limit(rows).select("text", label).toArrow()
+    return texts.join(F.broadcast(lowest), "doc_id").orderBy(*order).limit(rows).select("text", label)
+
+
+def fitted(sample: DataFrame, fit: Callable[[list[str], list], Any]) -> Any:
+    """What `fit` makes of the texts and labels of a labelled sample, in its order.
+
+    The sample's one task does the work and is done again if its executor is lost; only the model reaches the driver.
+    """
+    bound_batches(sample.sparkSession)
+    text, label = sample.columns
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        texts, labels = [], []
+        for batch in batches:
+            texts.extend(batch[text])
+            labels.extend(batch[label])
+        yield pd.DataFrame({"model": [pickle.dumps(fit(texts, labels))]})
+
+    models = sample.mapInPandas(work, "model binary").collect()
+    return pickle.loads(bytes(models[0]["model"])) if models else fit([], [])
 
 
 def crc_mod(column: Column, divisor: int) -> Column:

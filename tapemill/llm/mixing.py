@@ -13,6 +13,7 @@ import logging
 from collections import Counter
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from functools import partial
 from zlib import crc32
 
 import numpy as np
@@ -20,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapemill.llm.common import WORD_BYTES, bound_batches, labelled_sample, stored
+from tapemill.llm.common import WORD_BYTES, bound_batches, fitted, labelled_sample, stored
 
 _log = logging.getLogger(__name__)
 
@@ -116,8 +117,7 @@ def train(texts: list[str], domains: list[str], names: list[str]) -> Classifier:
 def fit_classifier(docs: DataFrame, labels: DataFrame, domain: Column, names: list[str]) -> Classifier:
     """Train on a bounded sample of labelled rows; rows without id, text or domain are not used."""
     known = labels.where("doc_id IS NOT NULL").select("doc_id", domain.alias("domain")).where(F.col("domain").isin(names))
-    sample = labelled_sample(docs, known, "domain", FIT_ROWS, FIT_CHARS)
-    return train(sample["text"].to_pylist(), sample["domain"].to_pylist(), names)
+    return fitted(labelled_sample(docs, known, "domain", FIT_ROWS, FIT_CHARS), partial(train, names=names))
 
 
 def members(docs: DataFrame, classifier: Classifier, kept_columns: list[str]) -> DataFrame:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapemill.llm.common import bound_batches, crc_mod, labelled_sample
+from tapemill.llm.common import bound_batches, crc_mod, fitted, labelled_sample
 
 # The fit takes at most this many labelled rows of at most this many characters and lines.
 FIT_ROWS = 4_000
@@ -143,8 +143,8 @@ def train(texts: list[str], labels: list[int]) -> Model:
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Train on labelled documents that are not held out (crc32 of the id modulo 5 is not 0)."""
     known = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", F.col("quality").cast("int").alias("quality"))
-    sample = labelled_sample(docs, known.where(crc_mod(F.col("doc_id"), 5) != 0), "quality", FIT_ROWS, FIT_CHARS)
-    return train(sample["text"].to_pylist(), sample["quality"].to_pylist())
+    known = known.where(crc_mod(F.col("doc_id"), 5) != 0)
+    return fitted(labelled_sample(docs, known, "quality", FIT_ROWS, FIT_CHARS), train)
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:

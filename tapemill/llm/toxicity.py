@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapemill.llm.common import WORD_BYTES, bound_batches, crc_mod, labelled_sample
+from tapemill.llm.common import WORD_BYTES, bound_batches, crc_mod, fitted, labelled_sample
 
 HASH_BITS = 18
 GRAMS = (3, 4, 5, 6)
@@ -232,8 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     known = known.where(crc_mod(F.col("doc_id"), 3) != 1)
-    sample = labelled_sample(docs, known, "toxic", FIT_ROWS, FIT_CHARS)
-    return calibrated(sample["text"].to_pylist(), sample["toxic"].to_pylist())
+    return fitted(labelled_sample(docs, known, "toxic", FIT_ROWS, FIT_CHARS), calibrated)
 
 
 def score_of(spark: SparkSession, model: Model):
