@@ -36,8 +36,7 @@ def _edge(df: DataFrame) -> DataFrame:
 
 def _query(fn: Query, name: str | None = None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        session.configure(spark)
-        session.size_shuffles(spark, fixtures.input_bytes(spark, sf_dir))
+        session.configure_ticks(spark, fixtures.input_bytes(spark, sf_dir))
         return _edge(fn(spark, sf_dir))
 
     QUERIES[name or fn.__name__] = run

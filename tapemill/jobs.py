@@ -47,7 +47,7 @@ class Lake:
         table = self.table(name)
         days = [day + timedelta(days=n) for n in range(-reach, reach + 1)]
         chosen = table.partitions(on_days(table.spec.partition_by[0], days))
-        session.size_shuffles(self.spark, table.bytes_of(chosen))
+        session.configure_ticks(self.spark, table.bytes_of(chosen))
         return table.read_partitions(chosen)
 
     def rejects(self, name: str) -> str:

@@ -20,15 +20,43 @@ RUNTIME_CONF = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
+# Ticks are sorted and aggregated by wide keys, where rows take about ten times their compressed size: a task
+# of theirs reads at most 32 MiB of shuffle or 16 MiB of Parquet, however large the input.
+TICK_CONF = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
+    "spark.sql.files.maxPartitionBytes": "16m",
+}
+# Parquet bytes of ticks whose rows make one shuffle partition of that size.
+TICK_BYTES = 8 * MIB
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session and return it."""
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    for key in TICK_CONF.keys() - RUNTIME_CONF.keys():
+        if (own := spark.conf.get(_own(key), None)) is not None:
+            spark.conf.set(key, own)
     return spark
 
 
+def configure_ticks(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """Apply the runtime settings with those of tick tables, for an input of this many Parquet bytes; `configure`
+    puts the session's own back."""
+    configure(spark)
+    for key, value in TICK_CONF.items():
+        if key not in RUNTIME_CONF and spark.conf.get(_own(key), None) is None:
+            spark.conf.set(_own(key), spark.conf.get(key))
+        spark.conf.set(key, value)
+    size_shuffles(spark, input_bytes, TICK_BYTES)
+    return spark
+
+
+def _own(key: str) -> str:
+    return key.replace("spark.", "spark.tapemill.own.", 1)
+
+
 def build(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
     """Start a session. Sizing (executors, memory, shuffle partitions) belongs to the submitter."""
     builder = SparkSession.builder.appName(app_name)
@@ -39,15 +67,15 @@ def build(app_name: str, master: str | None = None, **conf: str) -> SparkSession
     return builder.getOrCreate()
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+def size_shuffles(spark: SparkSession, input_bytes: int, per_partition: int = 32 * MIB) -> None:
     """Set the initial number of shuffle partitions to suit an input of this many Parquet bytes.
 
-    Rows take about four times their Parquet size in a shuffle, so 32 MiB of input make a 128 MiB
-    partition. Adaptive execution merges what turns out small; it cannot split what was planned
+    Rows take about four times their Parquet size in a shuffle, so `per_partition` of 32 MiB makes partitions of
+    128 MiB. Adaptive execution merges what turns out small; it cannot split what was planned
     too coarse. Never goes below the session's own setting, and back to it for small inputs. There is no upper limit: at a petabyte raise
     `spark.sql.files.maxPartitionBytes` too, so that maps times reducers stays bearable.
     """
-    wanted = -(-input_bytes // (32 * MIB))
+    wanted = -(-input_bytes // per_partition)
     initial, own = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.tapemill.ownPartitionNum"
     # The session's own number is noted at the first call, so that one large input does not size later ones.
     if spark.conf.get(own, None) is None:

@@ -96,3 +96,17 @@ def test_one_large_input_does_not_size_later_ones(spark):
     assert int(spark.conf.get(initial)) == 1 << 15
     session.size_shuffles(spark, 0)
     assert spark.conf.get(initial) == own
+
+
+def test_tasks_on_ticks_are_bounded_and_other_work_keeps_its_own_size(spark):
+    initial, split = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes"
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    session.configure(spark)
+    own = spark.conf.get(split)
+    catalog.QUERIES["ohlcv_1m"](spark, PATH)
+    assert (spark.conf.get(advisory), spark.conf.get(split)) == ("32m", "16m")
+    session.configure_ticks(spark, 6 << 30)
+    assert int(spark.conf.get(initial)) == (6 << 30) // session.TICK_BYTES == 768
+    session.configure(spark)
+    session.size_shuffles(spark, 0)
+    assert (spark.conf.get(advisory), spark.conf.get(split)) == ("256m", own)
