@@ -112,7 +112,7 @@ def upsert_trades(spark: SparkSession, sf: str) -> DataFrame:
     target = rows.where("side <> 'SELL'")
     source = rows.where("side <> 'BUY'").withColumn("price", F.col("price") + 1)
     name = "bronze.trades_raw"
-    return upsert(bronze.merge_source(target, name), bronze.merge_source(source, name), TABLES[name].keys)
+    return upsert(bronze.merge_source(target, name, True), bronze.merge_source(source, name, True), TABLES[name].keys)
 
 
 @_query
@@ -121,7 +121,7 @@ def upsert_quotes(spark: SparkSession, sf: str) -> DataFrame:
     target = rows.where("exchange <> 'NYSE'")
     source = rows.where("exchange <> 'ARCA'").withColumn("bid_size", F.col("bid_size") + 1)
     name = "bronze.quotes_raw"
-    return upsert(bronze.merge_source(target, name), bronze.merge_source(source, name), TABLES[name].keys)
+    return upsert(bronze.merge_source(target, name, True), bronze.merge_source(source, name, True), TABLES[name].keys)
 
 
 @_query

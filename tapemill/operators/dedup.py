@@ -13,6 +13,10 @@ from tapemill.functions.keys import all_present, any_missing, numbers_first
 TRADE_ORDER = ("_ingest_ts", "trade_id", "price", "size", "side")
 QUOTE_ORDER = ("_ingest_ts", "bid", "ask", "bid_size", "ask_size")
 
+# Whether a row has no NULL in its key. A constant in either part of a union: a filter on it leaves one part alone, which
+# keeps its partitioning, where the planner cannot tell that "key present" and "key missing" exclude each other.
+WHOLE_KEY = "_whole_key"
+
 
 def event_order() -> list[Column]:
     return [F.col("_ingest_ts").desc(), F.col("event_start"), F.col("event_type"),
@@ -29,12 +33,18 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return df.withColumn("_rn", ranked).where(F.col("_rn") == 1).drop("_rn")
 
 
-def one_per_merge_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+def one_per_merge_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], marked: bool = False
+) -> DataFrame:
     """Like `keep_first`, but rows with a NULL in the key all stay, since no merge matches them.
 
-    They stay where they are; the others are partitioned by the key alone, as a join on it wants them.
+    They stay where they are; the others are partitioned by the key alone, as a join on it wants them. `marked` adds
+    WHOLE_KEY, by which `upsert` tells the two parts without losing that.
     """
-    return keep_first(df.where(all_present(keys)), keys, order).unionByName(df.where(any_missing(keys)))
+    whole, others = keep_first(df.where(all_present(keys)), keys, order), df.where(any_missing(keys))
+    if marked:
+        whole, others = (part.withColumn(WHOLE_KEY, F.lit(n == 0)) for n, part in enumerate((whole, others)))
+    return whole.unionByName(others)
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

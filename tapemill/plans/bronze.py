@@ -27,11 +27,11 @@ def _utc_text(instant: datetime) -> str:
     return text if instant.tzinfo else f"{text}+00:00"
 
 
-def merge_source(rows: DataFrame, table: str) -> DataFrame:
+def merge_source(rows: DataFrame, table: str, marked: bool = False) -> DataFrame:
     """Bronze rows reduced to one per key, so that a repeated delivery can be merged again and again."""
     spec = TABLES[table]
     others = [c for c in spec.columns if c not in spec.keys]
-    return one_per_merge_key(rows, spec.keys, others)
+    return one_per_merge_key(rows, spec.keys, others, marked)
 
 
 def load_source(rows: DataFrame, table: str) -> DataFrame:

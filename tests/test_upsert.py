@@ -93,3 +93,19 @@ def test_rows_without_a_key_never_reach_the_join(spark):
     source = spark.createDataFrame([(1, 10), (None, 99)], "k long, v long")
     out = sorted((r["k"] or 0, r["v"]) for r in upsert(target, source, ["k"]).collect())
     assert out == sorted([(0, i) for i in range(50)] + [(1, 10), (2, 2), (0, 99)])
+
+
+def test_marked_sides_are_shuffled_once_each(spark):
+    def side(name, *null_rows):
+        rows = spark.range(50).selectExpr("id % 20 AS n", "concat('k', id % 4) AS k", f"concat('{name}', id) AS v")
+        return rows.unionByName(spark.createDataFrame(list(null_rows), "n long, k string, v string"))
+
+    nulls = [(None, "a", "x"), (None, "a", "x"), (1, None, "y")]
+    target, source, keys = side("t", *nulls), side("s", *nulls).where("n IS NULL OR n < 12"), ["k", "n"]
+    plain = upsert(*(one_per_merge_key(rows, keys, ["v"]) for rows in (target, source)), keys)
+    marked = upsert(*(one_per_merge_key(rows, keys, ["v"], marked=True) for rows in (target, source)), keys)
+    # Target, source and source again for its keys, which adaptive execution reuses; none above the reduced rows.
+    first, second = (df._jdf.queryExecution().executedPlan().toString() for df in (marked, plain))
+    assert first.count("Exchange hashpartitioning") == 3 < second.count("Exchange hashpartitioning")
+    assert marked.columns == plain.columns
+    assert sorted(map(repr, marked.collect())) == sorted(map(repr, plain.collect()))
