@@ -21,10 +21,10 @@ RUNTIME_CONF = {
 }
 
 # Ticks are sorted and aggregated by wide keys, where rows take about ten times their compressed size: a task
-# of theirs reads at most 32 MiB of shuffle or 16 MiB of Parquet, however large the input.
+# of theirs reads at most 32 MiB of shuffle or of files, however large the input.
 TICK_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
-    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.files.maxPartitionBytes": "32m",
 }
 # Parquet bytes of ticks whose rows make one shuffle partition of that size.
 TICK_BYTES = 8 * MIB

@@ -104,7 +104,7 @@ def test_tasks_on_ticks_are_bounded_and_other_work_keeps_its_own_size(spark):
     session.configure(spark)
     own = spark.conf.get(split)
     catalog.QUERIES["ohlcv_1m"](spark, PATH)
-    assert (spark.conf.get(advisory), spark.conf.get(split)) == ("32m", "16m")
+    assert (spark.conf.get(advisory), spark.conf.get(split)) == ("32m", "32m")
     session.configure_ticks(spark, 6 << 30)
     assert int(spark.conf.get(initial)) == (6 << 30) // session.TICK_BYTES == 768
     session.configure(spark)
