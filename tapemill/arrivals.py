@@ -5,6 +5,9 @@ Feeds are the fixture's, put on disk as text with damaged lines, in the hours an
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +19,7 @@ from tapemill.plans.loading import load
 from tapemill.sources import checked, raw
 from tapemill.specs import RAW_EVENTS, RAW_TRADES, TABLES
 from tapemill.storage.bucketed import BucketedTable, buckets_for
+from tapemill.storage.files import Files
 from tapemill.storage.footers import partition_counts
 from tapemill.storage.table import Table
 from tapemill.streaming import event_time
@@ -115,30 +119,39 @@ def stream_upsert_trades(spark: SparkSession, sf: str) -> DataFrame:
     return table.read()
 
 
-def _in_slots(trades: DataFrame, day: str, behind: Column) -> DataFrame:
+def _days(trades: DataFrame) -> list[date]:
+    return [r.trade_date for r in trades.select("trade_date").distinct().collect()]
+
+
+def _in_slots(trades: DataFrame, days: list[date], behind: Column) -> DataFrame:
     """Trades with the slot in which they arrive: days in order dealt to SLOTS, some rows a slot behind."""
-    days = trades.select(day).distinct().selectExpr(day, f"ntile({SLOTS}) OVER (ORDER BY {day}) AS slot")
-    return trades.join(F.broadcast(days), day).withColumn("arrival", F.col("slot") + F.when(behind, 1).otherwise(0))
+    listed = trades.sparkSession.range(1).select(F.explode(F.lit(days).cast("array<date>")).alias("trade_date"))
+    slots = listed.selectExpr("trade_date", f"ntile({SLOTS}) OVER (ORDER BY trade_date) AS slot")
+    dealt = trades.join(F.broadcast(slots), "trade_date").select(*trades.columns, "slot")
+    return dealt.withColumn("arrival", F.col("slot") + F.when(behind, 1).otherwise(0))
 
 
-def _landed(spark: SparkSession, arrivals: DataFrame, purpose: str) -> tuple[str, list[int]]:
-    """Arrivals on disk by slot, from where a query moves them to the stream's folder slot by slot."""
-    path = session.scratch_dir(spark, purpose)
+def _landed(spark: SparkSession, arrivals: DataFrame, purpose: str, folder: str) -> Iterator[None]:
+    """Arrivals in a folder of a stream, slot by slot: all are written once, then moved there one slot at a time."""
+    path, files = session.scratch_dir(spark, purpose), Files(spark, folder)
     arrivals.write.partitionBy("arrival").parquet(path)
-    return path, sorted(r.arrival for r in spark.read.parquet(path).select("arrival").distinct().collect())
+    slots = [name for name in files.folder_names(path) if name.startswith("arrival=")]
+    for slot in sorted(slots, key=lambda name: int(name.split("=")[1])):
+        files.move(f"{path}/{slot}", f"{folder}/{slot}")
+        yield
 
 
 def _bar_stream(spark: SparkSession, sf: str) -> event_time.BarStream:
-    trades = silver.deduplicated_trades(fixtures.bronze_trades(spark, sf)).where("exchange_ts IS NOT NULL")
+    deliveries = fixtures.bronze_trades(spark, sf)
+    trades = silver.deduplicated_trades(deliveries).where("exchange_ts IS NOT NULL")
     trades = trades.select("exchange", "symbol", "exchange_ts", "sequence_num", "price", "size", "trade_date")
-    arrivals = _in_slots(trades, "trade_date", F.col("sequence_num") % LATE_EVERY == 0)
-    landing, slots = _landed(spark, arrivals, "bar-arrivals")
+    # The instant is part of the key, so deduplication leaves every day.
+    days = _days(silver.typed_trades(deliveries).selectExpr("to_date(exchange_ts) AS trade_date").where("trade_date IS NOT NULL"))
+    arrivals = _in_slots(trades, days, F.col("sequence_num") % LATE_EVERY == 0)
     base = session.scratch_dir(spark, "bar-stream")
     source = parquet_stream(spark, trades.schema, f"{base}/in")
     stream = event_time.BarStream(spark, source, f"{base}/bars", f"{base}/checkpoint", BAR_DELAY)
-    for slot in slots:
-        arrived = spark.read.parquet(landing).where(F.col("arrival") == slot)
-        arrived.select(*trades.columns).write.mode("append").parquet(f"{base}/in")
+    for _ in _landed(spark, arrivals.drop("slot"), "bar-arrivals", f"{base}/in"):
         stream.advance()
     return stream
 
@@ -164,17 +177,14 @@ def stream_dedup_trades(spark: SparkSession, sf: str) -> DataFrame:
     typed = silver.typed_trades(fixtures.bronze_trades(spark, sf)).where("exchange_ts IS NOT NULL")
     typed = typed.withColumn("trade_date", F.to_date("exchange_ts")).drop("_trade_date")
     nth = F.row_number().over(Window.partitionBy(*silver.TRADES.keys).orderBy(*dedup.TRADE_ORDER))
-    arrivals = _in_slots(typed, "trade_date", F.lit(False))
-    arrivals = arrivals.withColumn("arrival", 2 * F.col("slot") + F.when(nth > 1, 1).otherwise(0))
-    landing, slots = _landed(spark, arrivals, "dedup-arrivals")
-    first, last = typed.agg(F.min("trade_date"), F.max("trade_date")).first()
-    days_of_slot = -(-((last - first).days + 1) // SLOTS)
+    days = _days(typed)
+    arrivals = _in_slots(typed, days, F.lit(False))
+    arrivals = arrivals.withColumn("arrival", 2 * F.col("slot") + F.when(nth > 1, 1).otherwise(0)).drop("slot")
+    days_of_slot = -(-((max(days) - min(days)).days + 1) // SLOTS)
     base = session.scratch_dir(spark, "dedup-stream")
     source = parquet_stream(spark, typed.schema, f"{base}/in")
     kept = event_time.deduplicated(source, list(silver.TRADES.keys), f"{2 * days_of_slot + 1} days")
-    for slot in slots:
-        arrived = spark.read.parquet(landing).where(F.col("arrival") == slot)
-        arrived.select(*typed.columns).write.mode("append").parquet(f"{base}/in")
+    for _ in _landed(spark, arrivals, "dedup-arrivals", f"{base}/in"):
         run_available(kept.writeStream.format("parquet").option("path", f"{base}/out").outputMode("append"), f"{base}/checkpoint")
     return spark.read.schema(kept.schema).parquet(f"{base}/out")
 

@@ -10,7 +10,7 @@ import pytest
 from conftest import at
 from pyspark.sql import functions as F
 
-from tapemill import jobs
+from tapemill import arrivals, jobs
 from tapemill.operators import bars, joins, partial_bars, salted
 from tapemill.plans import sql_face
 from tapemill.sources import checked, raw
@@ -176,6 +176,37 @@ def test_bars_close_behind_the_watermark_and_late_trades_are_counted(spark, tmp_
 # Partial states ----------------------------------------------------------------------------------
 
 
+def test_a_run_starts_from_stored_state_without_replaying_changes(spark, tmp_path):
+    schema = typed(spark, (0, 0, 1, 1.0)).schema
+    source = parquet_stream(spark, schema, f"{tmp_path}/in")
+    stream = event_time.BarStream(spark, source, f"{tmp_path}/bars", f"{tmp_path}/checkpoint", "5 minutes")
+    for n in range(3):
+        typed(spark, (10 * n, 0, n, 1.0)).write.mode("append").parquet(f"{tmp_path}/in")
+        stream.advance()
+    kinds = {path.suffix for path in Path(tmp_path, "checkpoint/state").rglob("[0-9]*.*")}
+    assert ".zip" in kinds and ".changelog" not in kinds
+    assert stream.closed() == event_time.Closed(3, 2, 1)
+
+
+def test_arrivals_reach_the_stream_slot_by_slot(spark, tmp_path):
+    rows = typed(spark, *((m, 0, m, 1.0) for m in range(6))).withColumn("arrival", F.col("sequence_num") % 3 * 10)
+    inbox = f"{tmp_path}/in"
+    source = parquet_stream(spark, rows.drop("arrival").schema, inbox)
+    seen = []
+    for _ in arrivals._landed(spark, rows, "slots", inbox):
+        files = spark.read.option("recursiveFileLookup", True).schema(source.schema).parquet(inbox)
+        seen.append(sorted(r.sequence_num for r in files.collect()))
+    assert seen == [[0, 3], [0, 1, 3, 4], [0, 1, 2, 3, 4, 5]]
+
+
+def test_days_are_dealt_to_slots_in_order(spark):
+    days = [DAY + dt.timedelta(days=n) for n in (5, 0, 9, 1)]
+    trades = spark.createDataFrame([(day, n) for n, day in enumerate(days)], "trade_date date, n long")
+    dealt = arrivals._in_slots(trades, days, F.col("n") == 2).collect()
+    assert {r.n: (r.slot, r.arrival) for r in dealt} == {1: (1, 1), 3: (2, 2), 0: (3, 3), 2: (4, 5)}
+    assert arrivals._in_slots(trades.limit(0), [], F.lit(False)).count() == 0
+
+
 def test_partial_states_merge_in_any_order(spark):
     trades = typed(spark, *((n % 3, n % 60, n, float(n % 17)) for n in range(200)))
     parts = [partial_bars.trade_states(trades.where(F.col("sequence_num") % 4 == k)) for k in range(4)]
