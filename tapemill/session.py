@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # A table's partitions are listed by this many tasks; Spark's own setting makes a task of every folder.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 # Ticks are sorted and aggregated by wide keys, where rows take about ten times their compressed size: a task

@@ -53,8 +53,10 @@ def _partitions_holding(table: Table, source: DataFrame, partitions: dict[str, s
     rows = table.with_partition_columns(table.read_partitions(partitions))
     for key in keys:
         rows = rows.where(F.col(key).between(ends[f"min_{key}"], ends[f"max_{key}"]))
-    hits = rows.join(source.select(*keys), list(keys), "left_semi").select(*table.spec.partition_by).distinct()
-    values = {tuple(None if v is None else str(v) for v in row) for row in hits.collect()}
+    return _named(partitions, table.values_in(rows.join(source.select(*keys), list(keys), "left_semi")))
+
+
+def _named(partitions: dict[str, str], values: set[tuple[str | None, ...]]) -> set[str]:
     return {p for p in partitions if tuple(partition_values(p).values()) in values}
 
 
@@ -67,23 +69,28 @@ def stage(
 ) -> Staged:
     """Merge `source` into the partitions it meets, as a new version that no reader sees.
 
-    The source is written once and read back from then on, so its plan runs once. It becomes the new version as
-    it is if it only adds partitions.
+    The source is written once and read back from then on, so its plan runs once. For an empty table it is written as
+    the new version; otherwise as it comes, since sorted partition folders would only be read and written again.
     """
     current = table.pointer()
     base = current.partitions if current else {}
     version = f"{run_id}-{uuid.uuid4().hex[:8]}"
-    written = incoming = table.write_version(source, f"{version}-in")
-    rows = table.read_partitions(incoming)
+    met: set[str] = set()
     try:
+        if base:
+            rows = table.write_rows(source, f"{version}-in")
+        else:
+            written = table.write_version(source, f"{version}-in")
+            rows = table.read_partitions(written)
         if check_source:
             check_source(rows)
-        met = set(incoming) & set(base)
-        if incoming and not table.spec.partition_follows_key:
-            met |= _partitions_holding(table, rows, base)
-        if met:
-            target = table.read_partitions({p: base[p] for p in met})
-            written = table.write_version(merge(target, rows, table.spec.keys), version)
+        if base:
+            values = table.values_in(rows)
+            met = _named(base, values)
+            if values and not table.spec.partition_follows_key:
+                met |= _partitions_holding(table, rows, base)
+            merged = merge(table.read_partitions({p: base[p] for p in met}), rows, table.spec.keys) if met else rows
+            written = table.write_version(merged, version) if values else {}
             table.files.delete(table.version_path(f"{version}-in"))
     except Exception:
         _discard(table, version)

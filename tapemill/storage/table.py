@@ -74,15 +74,23 @@ class Table:
 
     def partition_folders(self, version: str) -> list[str]:
         """Names of the partition folders of a version, by listing folders only."""
-        found = [("", self.version_path(version))]
+        found = [""]
         for _ in self.spec.partition_by:
             found = [
-                (f"{name}/{e.name}".lstrip("/"), e.path)
-                for name, folder in found
-                for e in self.files.listing(folder)
-                if e.is_dir and "=" in e.name
+                f"{name}/{folder}".lstrip("/")
+                for name in found
+                for folder in self.files.folder_names(f"{self.version_path(version)}/{name}".rstrip("/"))
+                if "=" in folder
             ]
-        return [name for name, _ in found]
+        return found
+
+    def values_in(self, rows: DataFrame) -> set[tuple[str | None, ...]]:
+        """Partition values that occur in rows, in the form of `partition_values`."""
+        by = self.spec.partition_by
+        distinct = self.with_partition_columns(rows).select(*by).distinct()
+        found = distinct.select(*[F.col(c).cast("string") for c in by]).collect()
+        # A folder name cannot tell an empty text from NULL.
+        return {tuple(value or None for value in row) for row in found}
 
     def partitions(self, only: Callable[[dict], bool] | None = None) -> dict[str, str]:
         """Published partitions, chosen by their values before any file is listed."""
@@ -127,3 +135,9 @@ class Table:
             .parquet(self.version_path(version))
         )
         return dict.fromkeys(self.partition_folders(version), version)
+
+    def write_rows(self, rows: DataFrame, version: str) -> DataFrame:
+        """Write rows as they come, without partition folders, and read them back."""
+        path = self.version_path(version)
+        rows.select(*self.spec.columns).write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(self.spec.schema).parquet(path)

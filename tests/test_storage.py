@@ -175,3 +175,38 @@ def test_odd_partition_values_survive(table, trades):
     publish(t, trades(*(trade(i, exchange=e) for i, e in enumerate(odd))))
     publish(t, trades(trade(0, exchange="A/B", price=4)))
     assert sorted((r.exchange, int(r.price)) for r in t.read().collect()) == sorted(zip(odd, [4, 1, 1, 1]))
+
+
+def test_incoming_rows_are_sorted_into_partition_folders_once(table, trades, monkeypatch):
+    t = table()
+    publish(t, trades(trade(1), trade(2, day="2024-01-16")), "r1")
+    written, write = [], Table.write_version
+    monkeypatch.setattr(Table, "write_version", lambda self, rows, version: written.append(version) or write(self, rows, version))
+    publish(t, trades(trade(1, price=2), trade(3, exchange="ARCA")), "r2")
+    assert len(written) == 1 and folders(t) == {f"version={v}" for v in {*t.pointer().partitions.values()}}
+    assert prices(t.read()) == [(15, "ARCA", 3, 1), (15, "NYSE", 1, 2), (16, "NYSE", 2, 1)]
+    # Partitions that are all new, and no rows at all.
+    publish(t, trades(trade(4, day="2024-01-17")), "r3")
+    assert prices(t.read())[-1] == (17, "NYSE", 4, 1)
+    before = state(t)
+    assert publish(t, trades(), "r4") is None and state(t) == before
+
+
+def test_partition_values_of_rows_are_those_of_folders(table, trades):
+    t = table()
+    rows = trades(trade(1), trade(2, exchange="A/B"), trade(3, exchange=None), trade(4, exchange=""))
+    assert t.values_in(rows) == {("2024-01-15", "NYSE"), ("2024-01-15", "A/B"), ("2024-01-15", None)}
+    assert {tuple(partition_values(p).values()) for p in t.write_version(rows, "v")} == t.values_in(rows)
+
+
+def test_many_partitions_are_listed_by_few_tasks(spark, table, trades):
+    t = table()
+    publish(t, trades(*(trade(n, day=f"2024-{1 + n // 28:02d}-{1 + n % 28:02d}") for n in range(100))))
+    seen = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        assert t.read().count() == 100
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for job in seen.getJobIdsForGroup("listing") for s in seen.getJobInfo(job).stageIds]
+    assert max(i.numTasks for i in map(seen.getStageInfo, stages) if i) <= 64
