@@ -78,7 +78,8 @@ def parsed_json_lines(lines: DataFrame, schema: T.StructType, file: Column) -> D
     record = F.from_json(
         "value", _with_corrupt(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    return lines.where(F.trim("value") != "").select(record.alias("r"), file.alias(FILE)).select("r.*", FILE)
+    # A generator's rows are made once. Of a plain column, a filter on CORRUPT would parse every line a second time.
+    return lines.where(F.trim("value") != "").select(F.inline(F.array(record)), file.alias(FILE))
 
 
 def json_lines(spark: SparkSession, schema: T.StructType, paths: Iterable[str]) -> Delivery:

@@ -58,6 +58,16 @@ def test_every_line_is_accepted_or_rejected(spark, tmp_path):
     assert delivery.accepted().select("symbol").count() == len(accepted)
 
 
+def test_lines_are_parsed_once(spark, tmp_path):
+    drop(tmp_path, 9, tick(1), '{"size": "many"}', '[{"size": 1}]', "null", "{}", "%", " ")
+    delivery = checked.json_lines(spark, RAW_TRADES, raw.hour_paths(str(tmp_path), "trades", DAY, [9]))
+    for rows in (delivery.accepted(), delivery.accepted().select("trade_id"), delivery.rejected()):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1
+    assert sorted(r.trade_id or "" for r in delivery.accepted().select("trade_id").collect()) == ["", "T1"]
+    assert Counter(r.line for r in delivery.rejected().collect()) == Counter(['{"size": "many"}', '[{"size": 1}]', "null", "%"])
+
+
 def test_events_with_other_numbers_of_columns(spark, tmp_path):
     path = tmp_path / "events.csv"
     path.write_text("event_id,symbol,event_type,event_date,event_start,event_end,description\nE1,A,SPLIT,2024-01-15,x,y,z\nE2,A\nE3,A,SPLIT,2024-01-15,x,y,z,more\n")
