@@ -217,10 +217,11 @@ def upsert_trades_bucketed(spark: SparkSession, sf: str) -> DataFrame:
     rows = fixtures.bronze_trades(spark, sf)
     keys = TABLES[TRADES_RAW].keys
     path = session.scratch_dir(spark, "bucketed-trades")
-    table = BucketedTable(spark, f"trades_{path[-12:]}", path, keys, buckets_for(fixtures.input_bytes(spark, sf)))
-    table.write(bronze.merge_source(rows.where("side <> 'SELL'"), TRADES_RAW))
+    buckets, partitions = buckets_for(fixtures.input_bytes(spark, sf)), session.shuffle_partitions(spark)
+    table = BucketedTable(spark, f"trades_{path[-12:]}", path, keys, max(buckets, partitions))
+    table.write(bronze.merge_source(rows.where("side <> 'SELL'"), TRADES_RAW), dealt=buckets <= partitions)
     source = rows.where("side <> 'BUY'").withColumn("price", F.col("price") + 1)
-    return table.upserted(bronze.merge_source(source, TRADES_RAW))
+    return table.upserted(bronze.merge_source(source, TRADES_RAW, True))
 
 
 def trade_event_enrich_salted(spark: SparkSession, sf: str) -> DataFrame:

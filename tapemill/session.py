@@ -85,6 +85,12 @@ def size_shuffles(spark: SparkSession, input_bytes: int, per_partition: int = 32
     spark.conf.set(initial, str(max(wanted, int(spark.conf.get(own)))))
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """Partitions that a shuffle starts from. A join moves a bucketed side with fewer buckets."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for tables that a query writes and reads back, deleted when the session's JVM ends.
 

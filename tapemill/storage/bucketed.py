@@ -27,21 +27,24 @@ class BucketedTable:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def write(self, rows: DataFrame) -> None:
+    def write(self, rows: DataFrame, dealt: bool = False) -> None:
         """Write a new version beside the present one and point the catalogue at it.
 
-        Rows are dealt by the key into as many tasks as buckets, so each bucket is one file. The old version's files
-        stay for readers that have planned on them.
+        Rows are dealt by the key into as many tasks as buckets, so each bucket is one file. Rows that a reduction to
+        one per key has `dealt` into that many shuffle partitions are not moved again; those without a whole key, which
+        it leaves where they are, add files of their own. The old version's files stay for readers that have planned on
+        them.
         """
         on = numbers_first(rows, self.keys)
         version = f"{self.path}/{uuid.uuid4().hex}"
         staged = f"{self.name}_{uuid.uuid4().hex[:8]}"
-        dealt = rows.repartition(self.buckets, *on)
-        writer = dealt.write.bucketBy(self.buckets, *on).sortBy(*on).option("path", version)
+        rows = rows if dealt else rows.repartition(self.buckets, *on)
+        writer = rows.write.bucketBy(self.buckets, *on).sortBy(*on).option("path", version)
         writer.option("compression", "zstd").format("parquet").saveAsTable(staged)
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
         self.spark.sql(f"ALTER TABLE {staged} RENAME TO {self.name}")
 
     def upserted(self, source: DataFrame) -> DataFrame:
-        """The table with `source` upserted, not yet written: a plan with no exchange on the table's side."""
+        """The table with `source` upserted, not yet written: a plan with no exchange on the table's side, given that it
+        has at least as many buckets as the session has shuffle partitions."""
         return upsert(self.read(), source, self.keys)

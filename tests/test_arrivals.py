@@ -10,9 +10,9 @@ import pytest
 from conftest import at
 from pyspark.sql import functions as F
 
-from tapemill import arrivals, jobs
+from tapemill import arrivals, jobs, session
 from tapemill.operators import bars, joins, partial_bars, salted
-from tapemill.plans import sql_face
+from tapemill.plans import bronze, sql_face
 from tapemill.sources import checked, raw
 from tapemill.specs import RAW_TRADES, TABLES
 from tapemill.storage.bucketed import BucketedTable
@@ -287,6 +287,36 @@ def test_bucketed_target_is_not_moved(spark, tmp_path):
     spark.sql("DROP TABLE bucketed_test")
 
 
+def test_reduced_rows_and_bucketed_target_are_not_moved_again(spark, tmp_path):
+    name, initial = "bronze.trades_raw", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    rows = spark.range(6_000).selectExpr(
+        "concat('X', id % 3) AS exchange", "concat('S', id % 2) AS symbol", "CAST(id % 3000 AS STRING) AS exchange_ts", "CAST(id AS DOUBLE) AS price",
+        "id AS size", "id % 3000 AS sequence_num", "'BUY' AS side", "if(id % 3000 < 5, NULL, concat('T', id % 3000)) AS trade_id",
+        "TIMESTAMP '2024-01-15 16:00:00' AS _ingest_ts", "DATE '2024-01-15' AS _trade_date")
+    own, threshold = spark.conf.get(initial, None), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(initial, "12")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        table = BucketedTable(spark, "bucketed_reduced", str(tmp_path / "t"), KEYS, session.shuffle_partitions(spark))
+        table.write(bronze.merge_source(rows, name), dealt=True)
+        whole = table.read().where("trade_id IS NOT NULL").select(F.input_file_name().alias("f")).distinct()
+        assert whole.count() <= 12 and table.read().count() == 2_995 + 10
+        source = rows.where("sequence_num % 2 = 0").withColumn("price", F.col("price") + 0.5)
+        merged = table.upserted(bronze.merge_source(source, name, True))
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan[plan.index("SortMergeJoin"):plan.index("bucketed_reduced")]
+        # The source's reduction for the join and for the rows that are added.
+        assert plan.count("Exchange hashpartitioning") == 2
+        kept = Counter((r.sequence_num, r.price % 1) for r in merged.collect())
+        assert all(kept[n, 0.5] == 1 - n % 2 and kept[n, 0.0] == n % 2 for n in range(5, 3_000))
+        # Without a whole key nothing is merged: both deliveries of the target stay, those of the source are added.
+        assert all(kept[n, 0.0] == 2 and kept[n, 0.5] == 2 * (1 - n % 2) for n in range(5))
+    finally:
+        spark.conf.unset(initial) if own is None else spark.conf.set(initial, own)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    spark.sql("DROP TABLE bucketed_reduced")
+
+
 def test_counts_come_from_footers(spark, tmp_path):
     rows = spark.range(100).selectExpr("id", "id % 3 AS part")
     rows.write.partitionBy("part").parquet(str(tmp_path / "t"))
