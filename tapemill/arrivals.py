@@ -42,7 +42,7 @@ def _lines(spark: SparkSession, rows: DataFrame) -> DataFrame:
 
 
 def _drop(lines: DataFrame, root: str) -> None:
-    lines.hint("rebalance", "dt", "hh").write.mode("append").partitionBy("dt", "hh").option("compression", "gzip").text(root)
+    raw.by_day(lines).write.mode("append").partitionBy("dt", "hh").option("compression", "gzip").text(root)
 
 
 def _dropped_trades(spark: SparkSession, sf: str) -> tuple[str, checked.Delivery]:

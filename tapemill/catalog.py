@@ -144,7 +144,7 @@ def ingest_trades_jsonl(spark: SparkSession, sf: str) -> DataFrame:
     """Hourly gzip drops of all trades, written by Spark and read back through the source."""
     root = f"{session.scratch_dir(spark, 'raw-trades')}/raw/trades"
     rows = _with_hour(fixtures.bronze_trades(spark, sf), "_trade_date").drop("_ingest_ts", "_trade_date")
-    rows.hint("rebalance", "dt", "hh").write.partitionBy("dt", "hh").option("compression", "gzip").json(root)
+    raw.by_day(rows).write.partitionBy("dt", "hh").option("compression", "gzip").json(root)
     return raw.read_json_lines(spark, RAW_TRADES, [root])
 
 
@@ -152,7 +152,7 @@ def ingest_trades_jsonl(spark: SparkSession, sf: str) -> DataFrame:
 def ingest_quotes_jsonl(spark: SparkSession, sf: str) -> DataFrame:
     root = f"{session.scratch_dir(spark, 'raw-quotes')}/raw/quotes"
     rows = _with_hour(fixtures.bronze_quotes(spark, sf), "_quote_date").drop("_ingest_ts", "_quote_date")
-    rows.hint("rebalance", "dt", "hh").write.partitionBy("dt", "hh").option("compression", "gzip").json(root)
+    raw.by_day(rows).write.partitionBy("dt", "hh").option("compression", "gzip").json(root)
     return raw.read_json_lines(spark, RAW_QUOTES, [root])
 
 

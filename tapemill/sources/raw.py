@@ -13,9 +13,13 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapemill import session
 from tapemill.specs import RAW_EVENTS, RAW_QUOTES, RAW_TRADES
 from tapemill.storage.files import Files
 
+# Shuffle partitions of lines for each one of other ticks.
+LINE_PARTITIONS = 4
+
 
 def hour_paths(root: str, feed: str, day: date, hours: Iterable[int]) -> list[str]:
     """Leaf folders of some hours, so that `dt` and `hh` do not become columns."""
@@ -26,6 +30,16 @@ def events_path(root: str, day: date) -> str:
     return f"{root}/raw/events/events_{day.isoformat()}.csv"
 
 
+def by_day(rows: DataFrame) -> DataFrame:
+    """Rows with `dt` and `hh` gathered for an hourly drop: a task writes whole days, an hour is one file.
+
+    A task then makes a day's folder once and the commit moves whole days, where hours dealt singly cost a folder and
+    a move each. Lines are wide, so there are more partitions than of other ticks: packed ones stay below the size from which
+    they are split, and only a day larger than a task's share is written by several tasks.
+    """
+    return rows.hint("rebalance", LINE_PARTITIONS * session.shuffle_partitions(rows.sparkSession), "dt")
+
+
 def read_json_lines(spark: SparkSession, schema: T.StructType, paths: list[str]) -> DataFrame:
     """The codec follows from the file suffix."""
     return _read_present(spark, spark.read.schema(schema).format("json"), schema, paths)

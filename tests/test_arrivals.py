@@ -10,7 +10,8 @@ import pytest
 from conftest import at
 from pyspark.sql import functions as F
 
-from tapemill import arrivals, jobs, session
+from tapemill import arrivals, fixtures, jobs, session
+from tapemill.catalog import QUERIES
 from tapemill.operators import bars, joins, partial_bars, salted
 from tapemill.plans import bronze, sql_face
 from tapemill.sources import checked, raw
@@ -121,6 +122,57 @@ def test_hours_are_pruned(spark, tmp_path):
     assert len(rows.inputFiles()) == 3 and all("hh=" in r.file for r in rows.collect())
 
 
+def line_items(*keys):
+    return [(k, 7 * k, k, 1, 5.0, 10.5, 0.0, 0.0, "N", "O", None) for k in keys]
+
+
+LINE_ITEM = (
+    "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+    "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+)
+
+
+@pytest.mark.parametrize("writer", ["ingest_trades_jsonl", "ingest_quotes_jsonl", "_drop"])
+def test_a_day_of_drops_is_written_by_one_task(spark, tmp_path, monkeypatch, writer):
+    """Hours of one file each, whole days in a task, also where shuffle partitions are not merged."""
+    monkeypatch.setitem(session.RUNTIME_CONF, "spark.sql.adaptive.coalescePartitions.enabled", "false")
+    session.configure(spark)
+    # 40 orders of each of six days.
+    keys = [5000 * day + 3 * k for day in range(6) for k in range(40)]
+    sf = str(tmp_path)
+    spark.createDataFrame(line_items(*keys), LINE_ITEM).write.parquet(f"{sf}/lineitem.parquet")
+    if writer == "_drop":
+        arrivals._drop(arrivals._lines(spark, fixtures.bronze_trades(spark, sf)), f"{sf}/raw")
+        rows = spark.read.text(f"{sf}/raw")
+    else:
+        rows = QUERIES[writer](spark, sf)
+    assert rows.count() == len(keys)
+    files = [Path(f) for f in rows.inputFiles()]
+    hours = {f.parent for f in files}
+    days = {(f.parent.parent.name, f.name.split("-")[1]) for f in files}
+    monkeypatch.undo()
+    session.configure(spark)
+    assert len(files) == len(hours) > 24 and len(days) == len({day for day, _ in days}) == 6
+    assert len({task for _, task in days}) > 1
+
+
+def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
+    """What outgrows a task's share is split, and no row is lost."""
+    own = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        lines = spark.range(0, 40_000, 1, 8).select(
+            F.lit("2024-01-15").alias("dt"), F.format_string("%02d", F.col("id") % 2 + 9).alias("hh"),
+            F.sha2(F.col("id").cast("string"), 256).alias("value"),
+        )
+        arrivals._drop(lines, str(tmp_path / "raw"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", own)
+    rows = spark.read.text(str(tmp_path / "raw"))
+    assert rows.select("value").distinct().count() == rows.count() == 40_000
+    assert len({Path(f).name.split("-")[1] for f in rows.inputFiles()}) > 4
+
+
 # Streams -----------------------------------------------------------------------------------------
 
 
