@@ -15,7 +15,6 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -51,17 +50,31 @@ RESULT = (
 class Encoder:
     """One tokenizer; `tokens[id]` are a token's bytes."""
 
-    encode: Callable[[list[str]], list[list[int]]]
+    encode: Callable[[list[str]], list[np.ndarray]]
     tokens: list[bytes]
 
     def __post_init__(self):
         self.sizes = np.fromiter(map(len, self.tokens), np.int64, len(self.tokens))
+        self._bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self._starts = np.cumsum(self.sizes) - self.sizes
 
-    def ids(self, texts: list[str]) -> list[list[int] | None]:
+    def spelled(self, ids: np.ndarray) -> bytes:
+        """The tokens' bytes, joined."""
+        sizes = self.sizes[ids]
+        before = np.cumsum(sizes) - sizes
+        return self._bytes[np.repeat(self._starts[ids] - before, sizes) + np.arange(sizes.sum())].tobytes()
+
+    def ids(self, texts: list[str]) -> list[np.ndarray | None]:
         """Token ids of each text; None where their bytes are not those of the text."""
+        if not texts:
+            return []
+        found = self.encode(texts)
+        flat = np.concatenate(found)
+        joined = self.spelled(flat)
+        stops = np.append(0, np.cumsum(self.sizes[flat]))[np.cumsum([len(ids) for ids in found])].tolist()
         return [
-            ids if b"".join(map(self.tokens.__getitem__, ids)) == text.encode() else None
-            for text, ids in zip(texts, self.encode(texts))
+            ids if joined[start:stop] == text.encode() else None
+            for text, ids, start, stop in zip(texts, found, [0, *stops], stops)
         ]
 
 
@@ -95,9 +108,10 @@ def byte_encoder(path: str) -> Encoder:
     slower = Tokenizer.from_file(path)
     slower.encode_special_tokens = True
 
-    def encode(texts: list[str]) -> list[list[int]]:
+    def encode(texts: list[str]) -> list[np.ndarray]:
         return [
-            slower.encode(t, add_special_tokens=False).ids if LONG_GAP.search(t) else own.encode_ordinary(t) for t in texts
+            np.array(slower.encode(t, add_special_tokens=False).ids if LONG_GAP.search(t) else own.encode_ordinary(t), np.int64)
+            for t in texts
         ]
 
     return Encoder(encode, tokens)
@@ -113,7 +127,7 @@ def piece_encoder(path: str) -> Encoder:
         bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
     ]
     # The model adds the leading space itself.
-    return Encoder(lambda texts: model.encode([t[1:] for t in texts], num_threads=1), tokens)
+    return Encoder(lambda texts: model.encode([t[1:] for t in texts], num_threads=1, return_type="numpy"), tokens)
 
 
 def shared_cuts(a: np.ndarray, b: np.ndarray, a_from: np.ndarray, a_to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -123,6 +137,9 @@ def shared_cuts(a: np.ndarray, b: np.ndarray, a_from: np.ndarray, a_to: np.ndarr
     """
     low, high = a_from.astype(np.int64), a_to.astype(np.int64) - 1
     found = [high]
+    # The token of `b` that ends at a byte: one look instead of a search.
+    ending = np.full(b[-1] + 1, -1)
+    ending[b] = np.arange(len(b))
     tried = np.full(len(low), -1)
     while len(low):
         # Inner ends are at low..high-1; ends up to `tried` away from the middle are no cuts.
@@ -135,14 +152,14 @@ def shared_cuts(a: np.ndarray, b: np.ndarray, a_from: np.ndarray, a_to: np.ndarr
         flat = sizes.ravel()
         owner = np.repeat(np.arange(len(low)).repeat(2), flat)
         at = np.arange(flat.sum()) - np.repeat(np.cumsum(flat) - flat, flat) + np.repeat(starts, flat)
-        place = np.searchsorted(b, a[at])
-        hit = b[np.minimum(place, len(b) - 1)] == a[at]
+        hit = ending[a[at]] >= 0
         owner, at = owner[hit], at[hit]
-        # The nearest to the middle cuts the interval.
-        order = np.lexsort((np.abs(at - middle[owner]), owner))
-        owner, at = owner[order], at[order]
-        first = np.flatnonzero(np.diff(owner, prepend=-1))
-        owner, at = owner[first], at[first]
+        # The nearest to the middle cuts the interval; owners are in order.
+        if not (owner[1:] > owner[:-1]).all():
+            order = np.lexsort((np.abs(at - middle[owner]), owner))
+            owner, at = owner[order], at[order]
+            first = np.flatnonzero(np.diff(owner, prepend=-1))
+            owner, at = owner[first], at[first]
         found.append(at)
         open_ = np.ones(len(low), bool)
         open_[owner] = False
@@ -156,7 +173,7 @@ def shared_cuts(a: np.ndarray, b: np.ndarray, a_from: np.ndarray, a_to: np.ndarr
         inner = high > low
         low, high, tried = low[inner], high[inner], tried[inner]
     cuts = np.sort(np.concatenate(found))
-    return cuts, np.searchsorted(b, a[cuts])
+    return cuts, ending[a[cuts]]
 
 
 class Aligner:
@@ -164,10 +181,12 @@ class Aligner:
 
     def __init__(self, first: Encoder, second: Encoder):
         self.first, self.second = first, second
-        # Ids in decimal with what follows them: a comma within a side of a group, else the side's end.
-        self.texts = [
+        # Ids in decimal with what follows them: a comma within a side of a group, else the side's end. Each has eight
+        # bytes, zeros at the end, which ids of ID_BITS fit.
+        texts = [
             f"{i}{end}" for encoder, ends in ((first, ",|"), (second, ",;")) for end in ends for i in range(len(encoder.tokens))
         ]
+        self.texts = np.array(texts, "S8").view(np.uint64)
 
     def align(self, texts: list[str | None]) -> list[tuple]:
         """RESULT of each text; NULL, empty and texts that one of the two cannot cover have no tokens."""
@@ -182,33 +201,33 @@ class Aligner:
                 out[chosen[n]] = row
         return out
 
-    def _aligned(self, firsts: list[list[int]], seconds: list[list[int]]) -> Iterator[tuple]:
+    def _aligned(self, firsts: list[np.ndarray], seconds: list[np.ndarray]) -> Iterator[tuple]:
         n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (firsts, seconds))
-        a, b = (np.fromiter(chain.from_iterable(ids), np.int64, n.sum()) for ids, n in ((firsts, n_a), (seconds, n_b)))
+        a, b = (np.concatenate(ids).astype(np.int64) for ids in (firsts, seconds))
         a_stop, b_stop = np.cumsum(n_a), np.cumsum(n_b)
         # Texts lie one after the other: equal bytes keep the ends of both in step.
         cut_a, cut_b = shared_cuts(
             np.cumsum(self.first.sizes[a]), np.cumsum(self.second.sizes[b]), a_stop - n_a, a_stop
         )
         in_a, in_b = np.diff(cut_a, prepend=-1), np.diff(cut_b, prepend=-1)
-        group_of_a, group_of_b = np.repeat(np.arange(len(in_a)), in_a), np.repeat(np.arange(len(in_b)), in_b)
         pieces = np.empty(len(a) + len(b), np.int64)
         last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
         last_a[cut_a], last_b[cut_b] = 1, 1
-        pieces[np.arange(len(a)) + (np.cumsum(in_b) - in_b)[group_of_a]] = a + last_a * len(self.first.tokens)
-        pieces[np.arange(len(b)) + np.cumsum(in_a)[group_of_b]] = (
+        pieces[np.arange(len(a)) + np.repeat(np.cumsum(in_b) - in_b, in_a)] = a + last_a * len(self.first.tokens)
+        pieces[np.arange(len(b)) + np.repeat(np.cumsum(in_a), in_b)] = (
             b + last_b * len(self.second.tokens) + 2 * len(self.first.tokens)
         )
-        listed = list(map(self.texts.__getitem__, pieces.tolist()))
-        text_of_group = np.searchsorted(a_stop, cut_a, side="right")
-        group_stop = np.searchsorted(text_of_group, np.arange(len(n_a)), side="right")
-        n_groups = np.diff(group_stop, prepend=0)
+        listed = self.texts[pieces]
+        # Every text ends with a group.
+        n_groups = np.diff(np.searchsorted(cut_a, a_stop), prepend=0)
+        text_of_group = np.repeat(np.arange(len(n_a)), n_groups)
         n_links = np.bincount(text_of_group, in_a * in_b, len(n_a)).astype(np.int64)
         keys, times, owners = self._links(a, b, cut_a, cut_b, in_a, in_b, text_of_group)
         stops = np.searchsorted(owners, np.arange(len(n_a)), side="right")
         for k in range(len(n_a)):
             start = a_stop[k] - n_a[k] + b_stop[k] - n_b[k]
-            digest = hashlib.sha256("".join(listed[start : a_stop[k] + b_stop[k]])[:-1].encode()).hexdigest()
+            groups = listed[start : a_stop[k] + b_stop[k]].tobytes().translate(None, b"\0")
+            digest = hashlib.sha256(groups[:-1]).hexdigest()
             own = slice(stops[k - 1] if k else 0, stops[k])
             yield int(n_a[k]), int(n_b[k]), int(n_groups[k]), int(n_links[k]), digest, keys[own], times[own]
 
@@ -228,25 +247,40 @@ class Aligner:
                 ub, cb = np.unique(b[start_b[done] : cut_b[done] + 1], return_counts=True)
                 pair, times = ((ua << ID_BITS)[:, None] | ub).ravel(), (ca[:, None] * cb).ravel()
                 owner = np.full(len(pair), text_of_group[done])
+                found.append(_summed(_key(owner, pair), times))
                 to = done + 1
             else:
+                # Most groups are one token of each; the others' pairs are listed.
                 groups = np.arange(done, to)
+                one = size[done:to] == 1
+                single, groups = groups[one], groups[~one]
                 group = np.repeat(groups, size[groups])
                 nth = np.arange(len(group)) - np.repeat(np.cumsum(size[groups]) - size[groups], size[groups])
                 pair = (a[start_a[group] + nth // in_b[group]] << ID_BITS) | b[start_b[group] + nth % in_b[group]]
-                owner, times = text_of_group[group], np.ones(len(group), np.int64)
-            found.append(_summed(owner, pair, times))
+                alone = (a[cut_a[single]] << ID_BITS) | b[cut_b[single]]
+                key = np.concatenate((_key(text_of_group[single], alone), _key(text_of_group[group], pair)))
+                found.append(_summed(key, None))
             done = to
         return _merged(found)
 
 
-def _summed(owner, pair, times):
+def _key(owner, pair):
     # Owners are few, ids are short: both fit one number for the sort.
-    key = (owner << (2 * ID_BITS)) | pair
-    order = np.argsort(key, kind="stable")
-    key = key[order]
+    return (owner << (2 * ID_BITS)) | pair
+
+
+def _summed(key, times):
+    """Pair, number of links and owner of each distinct key; without `times` each stands for one link."""
+    if times is None:
+        key = np.sort(key)
+    else:
+        order = np.argsort(key, kind="stable")
+        key, times = key[order], times[order]
     first = np.flatnonzero(np.diff(key, prepend=-1))
-    sums = np.add.reduceat(times[order], first) if len(first) else times[:0]
+    if times is None:
+        sums = np.diff(first, append=len(key))
+    else:
+        sums = np.add.reduceat(times, first) if len(first) else times[:0]
     key = key[first]
     return key & ((1 << 2 * ID_BITS) - 1), sums, key >> (2 * ID_BITS)
 
@@ -255,7 +289,7 @@ def _merged(found):
     if len(found) == 1:
         return found[0]
     pair, times, owner = (np.concatenate(parts) for parts in zip(*found))
-    return _summed(owner, pair, times)
+    return _summed(_key(owner, pair), times)
 
 
 def aligned(docs: DataFrame, vocabularies: str = VOCABULARIES) -> DataFrame:

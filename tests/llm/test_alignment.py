@@ -118,3 +118,32 @@ def test_one_long_group_is_counted_by_distinct_ids(monkeypatch):
     parts = alignment.Aligner._links(a, b, np.array([2, 3]), np.array([1, 2]), np.array([3, 1]), np.array([2, 1]), np.array([0, 0]))
     assert [x.tolist() for x in whole] == [x.tolist() for x in parts]
     assert whole[1].tolist() == [2, 2, 1, 1, 1]
+
+
+def test_tokens_stay_arrays():
+    """No Python object per token; a text that its tokens do not spell is None and leaves its neighbours alone."""
+    texts = [" plain words", " a▁x", " 日本語 😀", " <s> end"]
+    for encoder in (alignment.byte_encoder(FIRST), alignment.piece_encoder(SECOND)):
+        found = encoder.ids(texts)
+        assert all(isinstance(ids, np.ndarray) for ids in found if ids is not None)
+        assert all(encoder.spelled(ids).decode() == text for ids, text in zip(found, texts) if ids is not None)
+        assert found[0] is not None and found[2] is not None and encoder.ids([]) == []
+    assert alignment.piece_encoder(SECOND).ids(texts)[1] is None
+
+
+def test_links_of_mixed_groups():
+    """Groups of one token of each and longer ones, in several texts and in chunks."""
+    rng = np.random.default_rng(5)
+    in_a, in_b = rng.choice([1, 1, 1, 2, 3], (2, 200))
+    a, b = rng.integers(0, 9, in_a.sum()), rng.integers(0, 9, in_b.sum())
+    text = np.sort(rng.integers(0, 4, 200))
+    cut_a, cut_b = np.cumsum(in_a) - 1, np.cumsum(in_b) - 1
+    want = Counter(
+        (int(t), int(x), int(y))
+        for t, ca, cb, na, nb in zip(text, cut_a, cut_b, in_a, in_b)
+        for x in a[ca + 1 - na : ca + 1]
+        for y in b[cb + 1 - nb : cb + 1]
+    )
+    pair, times, owner = alignment.Aligner._links(a, b, cut_a, cut_b, in_a, in_b, text)
+    first, second = pair >> alignment.ID_BITS, pair & ((1 << alignment.ID_BITS) - 1)
+    assert dict(zip(zip(owner.tolist(), first.tolist(), second.tolist()), times.tolist())) == want
