@@ -42,7 +42,8 @@ def _lines(spark: SparkSession, rows: DataFrame) -> DataFrame:
 
 
 def _drop(lines: DataFrame, root: str) -> None:
-    raw.by_day(lines).write.mode("append").partitionBy("dt", "hh").option("compression", "gzip").text(root)
+    with session.shuffles_released(lines.sparkSession):
+        raw.by_day(lines).write.mode("append").partitionBy("dt", "hh").option("compression", "gzip").text(root)
 
 
 def _dropped_trades(spark: SparkSession, sf: str) -> tuple[str, checked.Delivery]:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +33,9 @@ TICK_CONF = {
 # Parquet bytes of ticks whose rows make one shuffle partition of that size.
 TICK_BYTES = 8 * MIB
 
+# Deletes an execution's shuffle files when it ends.
+RELEASE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session and return it."""
@@ -59,6 +64,21 @@ def _own(key: str) -> str:
     return key.replace("spark.", "spark.tapemill.own.", 1)
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Delete the shuffle files of each write and count when it ends; Spark alone keeps them until the driver happens to
+    collect its garbage, and a run of many steps piles them up. Streams started meanwhile do so too.
+
+    A frame that is executed again would shuffle again, so results given to a caller are not to be executed in here.
+    """
+    before = spark.conf.get(RELEASE_SHUFFLES, None)
+    spark.conf.set(RELEASE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(RELEASE_SHUFFLES) if before is None else spark.conf.set(RELEASE_SHUFFLES, before)
+
+
 def build(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
     """Start a session. Sizing (executors, memory, shuffle partitions) belongs to the submitter."""
     builder = SparkSession.builder.appName(app_name)

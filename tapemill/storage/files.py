@@ -43,6 +43,10 @@ class Files:
             for s in self._fs.listStatus(self._path(folder))
         ]
 
+    def bytes_in(self, folder: str) -> int:
+        """Size of all files below a folder that exists, in one call."""
+        return self._fs.getContentSummary(self._path(folder)).getLength()
+
     def folder_names(self, folder: str) -> list[str]:
         """Names of the folders in a folder that exists; fewer calls per entry than `listing`."""
         if not self.exists(folder):

@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass, field
 from datetime import date
@@ -13,6 +14,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapemill.specs import TableSpec
 from tapemill.storage.files import Files
@@ -20,6 +22,9 @@ from tapemill.storage.files import Files
 # Directory value that stands for NULL in a partition column.
 NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
 
+# Values of a partition's columns as text, None for NULL.
+Values = tuple[str | None, ...]
+
 
 @dataclass(frozen=True)
 class Pointer:
@@ -84,13 +89,28 @@ class Table:
             ]
         return found
 
-    def values_in(self, rows: DataFrame) -> set[tuple[str | None, ...]]:
+    def values_in(self, rows: DataFrame) -> set[Values]:
         """Partition values that occur in rows, in the form of `partition_values`."""
-        by = self.spec.partition_by
-        distinct = self.with_partition_columns(rows).select(*by).distinct()
-        found = distinct.select(*[F.col(c).cast("string") for c in by]).collect()
-        # A folder name cannot tell an empty text from NULL.
-        return {tuple(value or None for value in row) for row in found}
+        return set(self.rows_by_values(rows))
+
+    def rows_by_values(self, rows: DataFrame) -> dict[Values, int]:
+        """How many rows each partition of them has."""
+        by, counts = self.spec.partition_by, Counter()
+        counted = self.with_partition_columns(rows).groupBy(*by).agg(F.count("*").alias("_n"))
+        for *values, n in counted.select(*[F.col(c).cast("string") for c in by], "_n").collect():
+            # A folder name cannot tell an empty text from NULL.
+            counts[tuple(value or None for value in values)] += n
+        return dict(counts)
+
+    def rows_in(self, rows: DataFrame, values: Iterable[Values]) -> DataFrame:
+        """The rows of some partitions, chosen by their values."""
+        by, schema = self.spec.partition_by, self.spec.stored_schema
+        texts = T.StructType([T.StructField(f"_{c}", T.StringType()) for c in by])
+        wanted = self.spark.createDataFrame(list(values), texts)
+        wanted = wanted.select(*[F.col(f"_{c}").cast(schema[c].dataType).alias(f"_{c}") for c in by])
+        columns = {c: F.nullif(c, F.lit("")) if isinstance(schema[c].dataType, T.StringType) else F.col(c) for c in by}
+        same = [columns[c].eqNullSafe(F.col(f"_{c}")) for c in by]
+        return self.with_partition_columns(rows).join(F.broadcast(wanted), same, "left_semi").select(*rows.columns)
 
     def partitions(self, only: Callable[[dict], bool] | None = None) -> dict[str, str]:
         """Published partitions, chosen by their values before any file is listed."""
@@ -118,7 +138,7 @@ class Table:
         return rows.withColumns({day: F.to_date(ts) for day, ts in self.spec.day_of.items()})
 
     def write_version(self, rows: DataFrame, version: str) -> dict[str, str]:
-        """Write rows as a new version and return its partitions.
+        """Write rows as a new version, or add partitions to one that no reader sees yet; returns its partitions.
 
         The rebalance splits a large partition over many tasks and packs small ones together.
         Sorting by partition and key replaces the sort a partitioned write needs anyway, and
@@ -130,7 +150,8 @@ class Table:
             self.with_partition_columns(rows.select(*self.spec.columns))
             .hint("rebalance", *by)
             .sortWithinPartitions(*order)
-            .write.partitionBy(*by)
+            .write.mode("append")
+            .partitionBy(*by)
             .option("compression", "zstd")
             .parquet(self.version_path(version))
         )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tapemill import session
 from tapemill.operators.upsert import latest_of
 from tapemill.specs import RAW_QUOTES, RAW_TRADES
 from tapemill.storage.publish import write_audit_publish
@@ -37,7 +38,8 @@ def ingest_arrived(
     """Merge all files under `root/dt=/hh=` that the checkpoint has not seen yet, then stop."""
     schema, day_column = FEEDS[table.spec.name]
     lines = accepted_with_lineage(stream_lines(spark, schema, root, files_per_batch), day_column)
-    return run_available(merge_batches(lines, table), checkpoint)
+    with session.shuffles_released(spark):
+        return run_available(merge_batches(lines, table), checkpoint)
 
 
 def accepted_with_lineage(lines: DataFrame, day_column: str) -> DataFrame:

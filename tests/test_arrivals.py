@@ -3,6 +3,7 @@
 import datetime as dt
 import gzip
 import json
+import time
 from collections import Counter
 from pathlib import Path
 
@@ -112,6 +113,32 @@ def test_job_keeps_rejected_lines(spark, tmp_path):
     assert (only_bad.rejected, only_bad.loaded, only_bad.pointer) == (1, 0, None)
 
 
+def _shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in (found.apply(i).getName() for i in range(found.size())) if f.startswith("shuffle_")}
+
+
+def test_a_stream_and_a_drop_keep_no_shuffle_files(spark, tmp_path):
+    """What each step shuffled goes when the step ends, not when the driver collects its garbage."""
+    before, setting = _shuffle_files(spark), spark.conf.get(session.RELEASE_SHUFFLES)
+    table = Table(spark, str(tmp_path / "lake"), TABLES["bronze.trades_raw"])
+    root = f"{tmp_path}/raw/trades"
+    for hour in (9, 10):
+        rows = spark.range(200).selectExpr(
+            "'2024-01-15' AS dt", f"'{hour:02d}' AS hh", "concat('{\"trade_id\":\"T', id % 150, '\",\"exchange\":\"A\",\"symbol\":\"B\",'"
+            " '\"exchange_ts\":\"x\",\"sequence_num\":', id % 150, '}') AS value")
+        arrivals._drop(rows, root)
+        ingest_arrived(spark, table, root, f"{tmp_path}/checkpoint")
+    assert table.read().count() == 150 and spark.conf.get(session.RELEASE_SHUFFLES) == setting
+    # The count above is the caller's own and keeps what it shuffled; other files are removed in the background.
+    for _ in range(50):
+        left = {f.split("_")[1] for f in _shuffle_files(spark) - before}
+        if len(left) <= 1:
+            break
+        time.sleep(0.1)
+    assert len(left) <= 1
+
+
 def test_hours_are_pruned(spark, tmp_path):
     for hour in (9, 10, 11):
         drop(tmp_path, hour, tick(hour))

@@ -9,6 +9,7 @@ from conftest import at
 from tapemill.specs import TABLES
 from tapemill.storage import publish as pub
 from tapemill.storage.table import Table, on_days, partition_values
+from tapemill.streaming.ingest import _merge_latest
 
 TRADES, EVENTS = TABLES["silver.trades"], TABLES["bronze.events_raw"]
 
@@ -210,3 +211,48 @@ def test_many_partitions_are_listed_by_few_tasks(spark, table, trades):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     stages = [s for job in seen.getJobIdsForGroup("listing") for s in seen.getJobInfo(job).stageIds]
     assert max(i.numTasks for i in map(seen.getStageInfo, stages) if i) <= 64
+
+
+def test_partitions_are_merged_in_slices_that_keep_moved_keys_together():
+    days = [(str(day),) for day in range(6)]
+    weights = dict.fromkeys(days, 2)
+    assert pub._slices(weights, [], 4) == [set(days[:2]), set(days[2:4]), set(days[4:])]
+    assert pub._slices(weights, [], 1) == [{day} for day in days]
+    # Keys of day 4 come under day 0 now, those of day 2 under days 3 to 5.
+    assert pub._slices(weights, [(days[4], days[0], days[0])], 4) == [{days[0], days[4]}, {days[1], days[2]}, {days[3], days[5]}]
+    assert pub._slices(weights, [(days[4], days[0], days[0]), (days[2], days[3], days[5])], 4) == [
+        {days[0], *days[2:]}, {days[1]}]
+    assert pub._slices({(None, "A"): 1, ("1", None): 1}, [], 1) == [{(None, "A")}, {("1", None)}]
+
+
+@pytest.mark.parametrize("merge", [pub.upsert, _merge_latest])
+def test_slices_give_what_one_merge_gives(table, frame, monkeypatch, merge):
+    days = [f"2024-01-{day}" for day in range(10, 18)]
+    event = lambda key, day, stamp: raw_event(key, day, f"{key}{stamp}") | {"_ingest_ts": at(f"{days[stamp]}T00:00:00")}
+    old = [event(f"E{n}", day, 1) for n, day in enumerate(days)]
+    # Changed where it lies, moved on by a day, moved back over the calendar, moved but out of date, new, new day; no day, no key.
+    new = [event("E0", days[0], 2), event("E1", days[2], 2), event("E7", days[3], 2), event("E5", days[6], 0),
+           event("F", days[4], 2), event("G", "2024-02-01", 2), event("E6", days[6], 0) | {"_event_load_date": None},
+           event("H", days[0], 2) | {"_event_load_date": None}, event(None, days[1], 2), event(None, days[1], 2)]
+    found, made = [], []
+    for size in (pub.SLICE_BYTES, 0):
+        monkeypatch.setattr(pub, "SLICE_BYTES", size)
+        t = Table(table(EVENTS).spark, f"{table(EVENTS).root}-{size}", EVENTS)
+        publish(t, frame(EVENTS.schema, *old), suite=None)
+        merged, before = [], t.files.listing(f"{t.root}/data")
+        counting = lambda held, source, keys: merged.append(0) or merge(held, source, keys)  # noqa: B023, E731
+        pointer = pub.write_audit_publish(t, frame(EVENTS.schema, *new), "r", merge=counting)
+        found.append(sorted(map(str, t.read().collect())))
+        made.append((len(merged), sorted(pointer.partitions), len(t.files.listing(f"{t.root}/data")) - len(before)))
+    assert found[0] == found[1]
+    (one, partitions, folders_made), (several, *same) = made
+    assert one == 1 and several > 2 and same == [partitions, folders_made] and folders_made == 1
+
+
+def test_sliced_source_without_day_or_name(table, trades):
+    t = table()
+    rows = trades(trade(1), trade(2, exchange="A/B"), trade(3, exchange=None), trade(4, exchange=""), trade(5, day="2024-01-16"))
+    seq = lambda *values: sorted(r.sequence_num for r in t.rows_in(rows, values).collect())
+    assert seq(("2024-01-15", None)) == [3, 4] and seq(("2024-01-15", "NYSE"), ("2024-01-15", "A/B")) == [1, 2]
+    assert t.rows_in(rows, [("2024-01-16", "NYSE")]).columns == rows.columns
+    assert t.rows_by_values(rows)[("2024-01-15", None)] == 2
