@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass, field
@@ -105,9 +106,11 @@ class Table:
     def rows_in(self, rows: DataFrame, values: Iterable[Values]) -> DataFrame:
         """The rows of some partitions, chosen by their values."""
         by, schema = self.spec.partition_by, self.spec.stored_schema
-        texts = T.StructType([T.StructField(f"_{c}", T.StringType()) for c in by])
-        wanted = self.spark.createDataFrame(list(values), texts)
-        wanted = wanted.select(*[F.col(f"_{c}").cast(schema[c].dataType).alias(f"_{c}") for c in by])
+        # A literal, for which no Python worker has to start.
+        listed = F.lit(json.dumps([dict(zip(by, v)) for v in values]))
+        texts = T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in by]))
+        wanted = self.spark.range(1).select(F.inline(F.from_json(listed, texts)))
+        wanted = wanted.select(*[F.col(c).cast(schema[c].dataType).alias(f"_{c}") for c in by])
         columns = {c: F.nullif(c, F.lit("")) if isinstance(schema[c].dataType, T.StringType) else F.col(c) for c in by}
         same = [columns[c].eqNullSafe(F.col(f"_{c}")) for c in by]
         return self.with_partition_columns(rows).join(F.broadcast(wanted), same, "left_semi").select(*rows.columns)
